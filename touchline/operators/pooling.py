@@ -109,6 +109,19 @@ def apply_pool(df: DataFrame, pool: Pool, prefix: str = "pooled") -> DataFrame:
     return scored.select(*kept, *[columns[name].alias(name) for name in triple(prefix)])
 
 
+def pool_table(spark: SparkSession, pool: Pool) -> DataFrame:
+    """The fitted coefficients as ``(class, feature, coefficient)`` rows."""
+    names = list(pool_features(pool.sources, pool.interaction))
+    matrix, intercepts = pool.model.coefficientMatrix.toArray(), pool.model.interceptVector
+    rows = []
+    for label, index in CLASS_INDEX.items():
+        i = int(index)
+        if i < len(intercepts):
+            rows.append((label, "intercept", float(intercepts[i])))
+            rows += [(label, n, float(v)) for n, v in zip(names, matrix[i], strict=True)]
+    return spark.createDataFrame(rows, "class string, feature string, coefficient double")
+
+
 def pool_coefficients(spark: SparkSession, pool: Pool) -> DataFrame:
     """Mean absolute coefficient per source, per standard deviation of the feature."""
     matrix = abs(pool.model.coefficientMatrix.toArray()).mean(axis=0) * pool.feature_sd
