@@ -63,19 +63,15 @@ def documents(matches: DataFrame) -> DataFrame:
 
     Rows are numbered within their input partition, so that no group can grow with the
     data, however the rounds are distributed. Matches not yet started sit in documents
-    that carry an error payload.
+    that carry an error payload. The flat rows are shuffled, not the text made of them.
     """
-    numbered = matches.select(
-        "round_number",
-        "status",
-        _event().alias("event"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    chunk = F.floor(F.col("row") / EVENTS_PER_DOCUMENT)
+    keys = ["round_number", "status", "chunk"]
+    row = F.monotonically_increasing_id()
+    chunked = matches.withColumn("chunk", F.floor(row / EVENTS_PER_DOCUMENT)).repartition(*keys)
     error = F.when(F.col("status") == "NotStarted", "not available")
     return (
-        numbered.groupBy("round_number", "status", chunk.alias("chunk"))
-        .agg(F.collect_list("event").alias("events"))
+        chunked.groupBy(*keys)
+        .agg(F.collect_list(_event()).alias("events"))
         .select(
             F.floor(F.col("chunk") / DOCUMENTS_PER_FILE).alias("file"),
             F.struct(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions import LABELS, OUTCOMES, occurred, outcome_signal, triple
+from touchline.operators.parallel import together
 from touchline.operators.relational import long_outcomes, long_signals, normalised
 
 Curves = Mapping[str, IsotonicRegressionModel]
@@ -37,8 +39,13 @@ def fit_curves(long: DataFrame) -> dict[str, IsotonicRegressionModel]:
     estimator = IsotonicRegression(
         featuresCol="predicted_prob", labelCol="label", weightCol="weight", isotonic=True
     )
+
+    def fit(label: str) -> IsotonicRegressionModel:
+        return estimator.fit(rates.filter(F.col("outcome") == label))
+
     try:
-        return {label: estimator.fit(rates.filter(F.col("outcome") == label)) for label in LABELS}
+        models = together(rates.sparkSession, *[partial(fit, label) for label in LABELS])
+        return dict(zip(LABELS, models, strict=True))
     finally:
         rates.unpersist()
 

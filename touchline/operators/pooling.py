@@ -17,6 +17,7 @@ SOURCES = ("calibrated", "elo")
 # Class order, the sorted labels.
 CLASS_INDEX = {"1": 0.0, "2": 1.0, "X": 2.0}
 SUFFIX_CLASS = {"1": 0, "2": 1, "x": 2}
+TOLERANCE = 1e-8
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ def _assembler(names: list[str]) -> VectorAssembler:
 
 
 def fit_pool(train: DataFrame, sources: tuple[str, ...] = SOURCES, interaction: bool = False) -> Pool:
-    """Fit on the training half only.
+    """Fit on the training half only. The rows are read three times, then held by the fit.
 
     Spark minimises the mean loss plus a penalty; a weight of one over the number of rows
     makes that the sum of losses plus half the squared coefficients.
@@ -62,29 +63,26 @@ def fit_pool(train: DataFrame, sources: tuple[str, ...] = SOURCES, interaction:
     label = F.when(F.col("result") == "1", CLASS_INDEX["1"])
     label = label.when(F.col("result") == "2", CLASS_INDEX["2"])
     label = label.when(F.col("result") == "X", CLASS_INDEX["X"])
+    inputs = [name for source in sources for name in triple(source)]
     rows = (
         played(train)
+        .dropna(subset=inputs)
         .select(label.alias("label"), *[v.alias(k) for k, v in features.items()])
-        .dropna()
-        .persist()
     )
-    try:
-        stats = rows.agg(
-            F.count("*").alias("rows"), *[F.stddev_pop(n).alias(n) for n in names]
-        ).first()
-        if not stats["rows"]:
-            raise ValueError("no played match has all forecasts")
-        estimator = LogisticRegression(
-            family="multinomial",
-            regParam=1.0 / stats["rows"],
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=1000,
-            tol=1e-9,
-        )
-        model = estimator.fit(_assembler(names).transform(rows).select("label", "features"))
-    finally:
-        rows.unpersist()
+    stats = rows.agg(
+        F.count("*").alias("rows"), *[F.stddev_pop(n).alias(n) for n in names]
+    ).first()
+    if not stats["rows"]:
+        raise ValueError("no played match has all forecasts")
+    estimator = LogisticRegression(
+        family="multinomial",
+        regParam=1.0 / stats["rows"],
+        elasticNetParam=0.0,
+        standardization=False,
+        maxIter=1000,
+        tol=TOLERANCE,
+    )
+    model = estimator.fit(_assembler(names).transform(rows).select("label", "features"))
     return Pool(model, tuple(sources), interaction, tuple(stats[n] for n in names), stats["rows"])
 
 

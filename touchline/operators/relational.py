@@ -88,10 +88,10 @@ def long_signals(matches: DataFrame, expected: str = "elo_expected_score") -> Da
 
 
 def normalised(df: DataFrame, prefix: str) -> DataFrame:
-    """Scale a triple so that it sums to one."""
+    """Scale a triple so that it sums to one; three zeros hold no opinion and become NULL."""
     names = triple(prefix)
     total = F.col(names[0]) + F.col(names[1]) + F.col(names[2])
-    return df.withColumns({name: F.col(name) / total for name in names})
+    return df.withColumns({name: F.try_divide(F.col(name), total) for name in names})
 
 
 def blend(

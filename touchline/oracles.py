@@ -383,8 +383,8 @@ SELECT * REPLACE (round(calibrated_1, 6) AS calibrated_1, round(calibrated_x, 6)
         recursive=True,
     ),
     "mart_vs_results": on_matches(
-        f"SELECT match_id AS match_key, result, round({_brier('crowd')}, 6) AS brier_crowd, "
-        f"round({_brier('favourite_odds')}, 6) AS brier_favourite_odds FROM matches "
+        f"SELECT match_id AS match_key, result, round({_brier('crowd')}, 10) AS brier_crowd, "
+        f"round({_brier('favourite_odds')}, 10) AS brier_favourite_odds FROM matches "
         f"WHERE result IS NOT NULL AND {SCOPED}"
     ),
     "split_describe": on_matches(f"""

@@ -23,6 +23,7 @@ from touchline.operators.judging import (
     pooled_brier,
     with_even_forecast,
 )
+from touchline.operators.parallel import together
 from touchline.operators.pooling import apply_pool, fit_pool, pool_coefficients
 from touchline.operators.rating import rate_matches
 from touchline.operators.relational import blend, scope_to, split_at
@@ -108,17 +109,21 @@ def run_backtest(
     inside = scope_to(rated, leagues)
     train, test = split_at(inside, cutoff, start)
 
-    crowd_curves, rating_curves = fit_crowd_curves(train), fit_rating_curves(train)
+    crowd_curves, rating_curves = together(
+        spark, lambda: fit_crowd_curves(train), lambda: fit_rating_curves(train)
+    )
 
     def forecast(half: DataFrame) -> DataFrame:
         return rating_probabilities(calibrate(half, crowd_curves), rating_curves)
 
     trained = pinned(forecast(train), "trained")
-    best = best_blend_weight(trained, "calibrated", "elo").first()
-    if best is None:
-        raise ValueError("no played match before the cutoff")
+    best, pool, poolx = together(
+        spark,
+        lambda: best_blend_weight(trained, "calibrated", "elo").first(),
+        lambda: fit_pool(trained),
+        lambda: fit_pool(trained, interaction=True),
+    )
     weight = best["weight"]
-    pool, poolx = fit_pool(trained), fit_pool(trained, interaction=True)
 
     scored = blend(forecast(test), "calibrated", "elo", 0.5, "combined")
     scored = blend(scored, "calibrated", "elo", weight, "fitted")

@@ -517,7 +517,7 @@ def mart_vs_results(spark, sf_dir):
     )
     prefixes = ["crowd", "favourite_odds"]
     scored = mart.mart_against_results(published, _fact(spark, sf_dir), prefixes)
-    return _rounded(scored, 6, [f"brier_{p}" for p in prefixes])
+    return _rounded(scored, 10, [f"brier_{p}" for p in prefixes])
 
 
 # --- judging ---------------------------------------------------------------------------
@@ -579,6 +579,7 @@ def fit_blend_weight(spark, sf_dir):
 # --- logistic pooling ------------------------------------------------------------------
 
 POOLED = ("crowd", "favourite_odds")
+JOINED = ("crowd", "elo")
 
 
 @query
@@ -589,23 +590,32 @@ def logit_features(spark, sf_dir):
     return _rounded(out, 6, list(features))
 
 
+def _pool_input(spark, sf_dir):
+    """Crowd probabilities and some made from ratings. The fit reads its rows again and
+    again, so they are written once."""
+    rated = _expected_in_place(binding.matches(spark, sf_dir))
+    expected, draw = F.col("elo_expected_score"), F.col("elo_x")
+    made = rated.withColumn("elo_x", 0.2 + 0.2 * outcome_signal("X", expected)).withColumns(
+        {"elo_1": expected * (1 - draw), "elo_2": (1 - expected) * (1 - draw)}
+    )
+    return pinned(made.select("match_id", "result", *triple("crowd"), *triple("elo")), "pool")
+
+
 @query
 def pool_fit(spark, sf_dir):
-    return pooling.pool_table(spark, pooling.fit_pool(binding.matches(spark, sf_dir), POOLED))
+    return pooling.pool_table(spark, pooling.fit_pool(_pool_input(spark, sf_dir), JOINED))
 
 
 @query
 def pool_apply(spark, sf_dir):
-    matches = binding.matches(spark, sf_dir).select(
-        "match_id", "result", *triple("crowd"), *triple("favourite_odds")
-    )
-    pooled = pooling.apply_pool(matches, pooling.fit_pool(matches, POOLED))
+    matches = _pool_input(spark, sf_dir)
+    pooled = pooling.apply_pool(matches, pooling.fit_pool(matches, JOINED))
     return pooled.select("match_id", "result", *triple("pooled"))
 
 
 @query
 def pool_coefficients(spark, sf_dir):
-    pool = pooling.fit_pool(binding.matches(spark, sf_dir), POOLED, interaction=True)
+    pool = pooling.fit_pool(_pool_input(spark, sf_dir), JOINED, interaction=True)
     return pooling.pool_coefficients(spark, pool)
 
 
