@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,9 +56,18 @@ def newest_rounds(events: DataFrame) -> DataFrame:
     )
 
 
-def inline_relation(spark: SparkSession, rows: dict[str, str], schema: str) -> DataFrame:
-    """A lookup as a two-column relation with a declared schema."""
-    return spark.createDataFrame(list(rows.items()), schema)
+def inline_relation(spark: SparkSession, rows: Mapping[str, str], columns: tuple[str, str]) -> DataFrame:
+    """A lookup as a two-column relation.
+
+    The rows are literals in the plan, so Spark knows how small they are and joins them by
+    broadcast. A frame made from driver rows has no known size: the other side, however
+    large, would be shuffled or broadcast instead.
+    """
+    pairs = [
+        F.struct(F.lit(key).alias(columns[0]), F.lit(value).alias(columns[1]))
+        for key, value in rows.items()
+    ]
+    return spark.sql("SELECT 1").select(F.inline(F.array(*pairs)))
 
 
 def long_outcomes(

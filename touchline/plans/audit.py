@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 
 def fact_audit(fact: DataFrame) -> DataFrame:
-    """Rows, leagues, seasons and missing ratings of the match fact, from one pass."""
-    return fact.agg(
-        F.count("*").alias("matches"),
+    """Rows, leagues, seasons and missing ratings of the match fact.
+
+    The rows are first counted per league and season, so that the distinct counts look at
+    those few groups and no row is repeated for them.
+    """
+    groups = fact.groupBy("league_key", "season_key").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("elo_home").isNull()).alias("unrated")
+    )
+    both = F.col("league_key").isNotNull() & F.col("season_key").isNotNull()
+    return groups.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("matches"),
         F.countDistinct("league_key").alias("leagues"),
-        F.countDistinct("league_key", "season_key").alias("league_seasons"),
-        F.count_if(F.col("elo_home").isNull()).alias("without_rating"),
+        F.count_if(both).alias("league_seasons"),
+        F.coalesce(F.sum("unrated"), F.lit(0)).alias("without_rating"),
     )
 
 

@@ -50,9 +50,7 @@ def _rounded(df: DataFrame, digits: int, columns: list[str]) -> DataFrame:
 
 
 def _leagues(spark: SparkSession) -> DataFrame:
-    lookup = relational.inline_relation(
-        spark, binding.SCOPE, "league_name string, country string"
-    )
+    lookup = relational.inline_relation(spark, binding.SCOPE, ("league_name", "country"))
     return dimensions.league_dimension(lookup)
 
 
@@ -102,7 +100,7 @@ def scan_table(spark, sf_dir):
 
 @query
 def inline_relation(spark, sf_dir):
-    lookup = relational.inline_relation(spark, binding.SCOPE, "league string, country string")
+    lookup = relational.inline_relation(spark, binding.SCOPE, ("league", "country"))
     counts = binding.matches(spark, sf_dir).groupBy("league").agg(F.count("*").alias("matches"))
     return lookup.join(counts, "league")
 
@@ -386,12 +384,14 @@ def fact_league_season(spark, sf_dir):
 
 @query
 def star_join(spark, sf_dir):
+    """The dimensions are written first: of a written table Spark knows the size, and so
+    joins it by broadcast as long as it is small, leaving the fact where it is."""
     matches = binding.matches(spark, sf_dir)
     joined = facts.star(
         _fact(spark, sf_dir),
-        dimensions.team_dimension(matches),
+        pinned(dimensions.team_dimension(matches), "dim_team"),
         _leagues(spark),
-        dimensions.date_dimension(matches, _as_of()),
+        pinned(dimensions.date_dimension(matches, _as_of()), "dim_date"),
     )
     return (
         joined.groupBy("home_country", "away_country", "league_name", "year", "is_weekend")
@@ -401,7 +401,7 @@ def star_join(spark, sf_dir):
 
 @query
 def left_lookup(spark, sf_dir):
-    lookup = relational.inline_relation(spark, binding.SCOPE, "league string, country string")
+    lookup = relational.inline_relation(spark, binding.SCOPE, ("league", "country"))
     matches = binding.matches(spark, sf_dir).select("match_id", "league")
     return matches.join(lookup, "league", "left")
 
