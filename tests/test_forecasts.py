@@ -94,7 +94,9 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(df).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x", "z": "z"}
     chain = [(f"{i:02d}", f"{i + 1:02d}") for i in range(30)]
-    assert connected_components(spark.createDataFrame(chain, "left string, right string"), 3) is None
+    links = spark.createDataFrame(chain, "left string, right string")
+    assert connected_components(links, 2) is None
+    assert connected_components(links).select("component").distinct().collect() == [("00",)]
 
 
 def test_expected_score(spark):

@@ -11,9 +11,10 @@ from touchline.sources.workspace import pinned
 def connected_components(pairs: DataFrame, max_rounds: int = 12) -> DataFrame | None:
     """Label every node of ``pairs(left, right)`` with the smallest node it can reach.
 
-    Each round passes the smallest label on to the neighbours; its result is written, so
-    that neither the plan nor the loss of an executor makes a round repeat the ones before
-    it. Returns ``(node, component)``, or None if ``max_rounds`` do not settle the labels.
+    Each round hands every node the smallest label among its neighbours, then the label of
+    the node so named; that second step doubles the distance covered. A round's result is
+    written, so that neither the plan nor the loss of an executor makes a round repeat the
+    ones before it. Returns ``(node, component)``, or None if ``max_rounds`` do not settle the labels.
     """
     distinct = pairs.select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b"))
     both = distinct.distinct().select(
@@ -35,9 +36,14 @@ def connected_components(pairs: DataFrame, max_rounds: int = 12) -> DataFrame |
             .groupBy("node")
             .agg(F.min("component").alias("heard"))
         )
-        smaller = F.least("component", "heard")
-        step = labels.join(heard, "node").select(
-            "node", smaller.alias("component"), (smaller != F.col("component")).alias("changed")
+        near = labels.join(heard, "node").select(
+            "node", "component", F.least("component", "heard").alias("via")
+        )
+        beyond = labels.select(F.col("node").alias("via"), F.col("component").alias("smallest"))
+        step = near.join(beyond, "via").select(
+            "node",
+            F.col("smallest").alias("component"),
+            (F.col("smallest") != F.col("component")).alias("changed"),
         )
         step = pinned(step, "labels")
         labels = step.select("node", "component")

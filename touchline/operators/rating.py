@@ -31,19 +31,31 @@ STEP = 20.0
 TASK_ROWS = 2_000_000
 
 
-def _fold(step: float, home_bonus: float):
-    """The fold over the Arrow batches of one task. Only current ratings are kept."""
+CARRIED = ["match_start", "home_team", "away_team"]
+
+
+def _fold(step: float, home_bonus: float, start_rating: float, carry: bool):
+    """The fold over the Arrow batches of one task. Only current ratings are kept.
+
+    With ``carry`` a team's first rating is the one its row brings along, and the ratings
+    after every match are given too.
+    """
+
+    kept = ["match_id", *CARRIED] if carry else ["match_id"]
 
     def fold(batches):
+        from itertools import repeat
+
         current = {}
         for batch in batches:
             home_before, away_before, home_after, away_after = [], [], [], []
+            level = repeat(start_rating)
             for home, away, took, home_start, away_start in zip(
                 batch["home_team"].tolist(),
                 batch["away_team"].tolist(),
                 batch["points"].tolist(),
-                batch["home_start"].tolist(),
-                batch["away_start"].tolist(),
+                batch["home_start"].tolist() if carry else level,
+                batch["away_start"].tolist() if carry else level,
             ):
                 h = current.get(home, home_start)
                 a = current.get(away, away_start)
@@ -54,27 +66,29 @@ def _fold(step: float, home_bonus: float):
                     h, a = h + shift, a - shift
                     current[home] = h
                     current[away] = a
-                home_after.append(h)
-                away_after.append(a)
-            yield batch.drop(columns=["points", "home_start", "away_start"]).assign(
-                elo_home=home_before,
-                elo_away=away_before,
-                home_after=home_after,
-                away_after=away_after,
-            )
+                if carry:
+                    home_after.append(h)
+                    away_after.append(a)
+            rated = batch[kept].assign(elo_home=home_before, elo_away=away_before)
+            if carry:
+                rated = rated.assign(home_after=home_after, away_after=away_after)
+            yield rated
 
     return fold
 
 
-def _folded(log: DataFrame, step: float, home_bonus: float) -> DataFrame:
+def _folded(
+    log: DataFrame, step: float, home_bonus: float, start_rating: float, carry: bool
+) -> DataFrame:
     """Fold every partition of ``log`` in time order."""
     ordered = log.sortWithinPartitions(F.asc_nulls_last("match_start"), F.asc("match_id"))
-    kept = [f for f in log.schema.fields if f.name not in ("points", "home_start", "away_start")]
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-        + ["elo_home double", "elo_away double", "home_after double", "away_after double"]
-    )
-    return ordered.mapInPandas(_fold(step, home_bonus), schema)
+    kept = ["match_id", *CARRIED] if carry else ["match_id"]
+    ratings = ["elo_home", "elo_away", *(["home_after", "away_after"] if carry else [])]
+    schema = [f"{name} {log.schema[name].dataType.simpleString()}" for name in kept]
+    schema += [f"{name} double" for name in ratings]
+    if not carry:
+        ordered = ordered.drop("match_start")
+    return ordered.mapInPandas(_fold(step, home_bonus, start_rating, carry), ", ".join(schema))
 
 
 def rate_matches(
@@ -93,9 +107,7 @@ def rate_matches(
     )
     rows = log.count()
     if rows <= task_rows:
-        start = F.lit(float(start_rating))
-        one = log.withColumns({"home_start": start, "away_start": start}).repartition(1)
-        rated = _folded(one, step, home_bonus)
+        rated = _folded(log.repartition(1), step, home_bonus, float(start_rating), carry=False)
     else:
         rated = _rate_in_slices(log, rows, start_rating, step, home_bonus, task_rows)
     return rated.select("match_id", "elo_home", "elo_away")
@@ -136,7 +148,7 @@ def _rate_in_slices(
             placed = placed.join(groups, _node("home_team") == F.col("node")).drop("node")
             placed = placed.repartition("component").drop("component")
         path = f"{folder}/rated/turn={turn}"
-        _folded(placed, step, home_bonus).write.parquet(path)
+        _folded(placed, step, home_bonus, start_rating, carry=True).write.parquet(path)
         outputs.append(path)
         first, turn = first + taken, turn + 1
         if first < slices:
