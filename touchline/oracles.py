@@ -117,6 +117,53 @@ calibrated AS (
   JOIN fitted f2 ON f2.outcome = '2' AND f2.x = m.crowd_2)
 """
 
+# Isotonic regression over many distinct points: a fold over the points in order, whose state
+# is the stack of blocks; each step takes the next point or merges the two last blocks.
+RATING_CURVE = """
+rated AS MATERIALIZED (
+  SELECT e.match_id, m.result,
+    1.0 / (1.0 + pow(CAST(10.0 AS DOUBLE), -(e.elo_home + 65.0 - e.elo_away) / 400.0)) AS e
+  FROM elo e JOIN matches m ON m.match_id = e.match_id),
+signals AS MATERIALIZED (
+  SELECT match_id, '1' AS outcome, e AS x, CAST(result = '1' AS BIGINT) AS y FROM rated
+  UNION ALL SELECT match_id, 'X', CAST(0.5 AS DOUBLE) - abs(e - CAST(0.5 AS DOUBLE)), CAST(result = 'X' AS BIGINT) FROM rated
+  UNION ALL SELECT match_id, '2', CAST(1.0 AS DOUBLE) - e, CAST(result = '2' AS BIGINT) FROM rated),
+points AS MATERIALIZED (
+  SELECT outcome, x, CAST(sum(y) AS BIGINT) AS h, count(*) AS n, row_number() OVER (PARTITION BY outcome ORDER BY x) AS i
+  FROM signals WHERE y IS NOT NULL GROUP BY outcome, x),
+stack AS (
+  SELECT DISTINCT outcome, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS hs, CAST([] AS BIGINT[]) AS ns,
+    CAST([] AS BIGINT[]) AS cs FROM points
+  UNION ALL
+  SELECT outcome, CASE WHEN merging THEN i ELSE i + 1 END,
+    CASE WHEN merging THEN list_append(hs[:-3], hs[-2] + hs[-1]) ELSE list_append(hs, h) END,
+    CASE WHEN merging THEN list_append(ns[:-3], ns[-2] + ns[-1]) ELSE list_append(ns, n) END,
+    CASE WHEN merging THEN list_append(cs[:-3], cs[-2] + cs[-1]) ELSE list_append(cs, 1) END
+  FROM (SELECT s.*, q.h, q.n, len(s.hs) > 1 AND s.hs[-2] * s.ns[-1] >= s.hs[-1] * s.ns[-2] AS merging
+        FROM stack s LEFT JOIN points q ON q.outcome = s.outcome AND q.i = s.i + 1)
+  WHERE merging OR n IS NOT NULL),
+settled AS (
+  SELECT * FROM stack QUALIFY row_number() OVER (PARTITION BY outcome ORDER BY i DESC, len(hs)) = 1),
+blocks AS (
+  SELECT outcome, unnest(hs) AS h, unnest(ns) AS n, unnest(cs) AS c, unnest(range(len(hs))) AS b FROM settled),
+placed AS (
+  SELECT outcome, CAST(h AS DOUBLE) / CAST(n AS DOUBLE) AS v,
+    sum(c) OVER (PARTITION BY outcome ORDER BY b) - c + 1 AS first, sum(c) OVER (PARTITION BY outcome ORDER BY b) AS last
+  FROM blocks),
+curve AS (
+  SELECT p.outcome, p.x, b.v FROM points p JOIN placed b ON b.outcome = p.outcome AND p.i BETWEEN b.first AND b.last),
+below AS (
+  SELECT s.match_id, s.outcome, s.x, c.x AS x0, c.v AS v0
+  FROM signals s ASOF LEFT JOIN curve c ON c.outcome = s.outcome AND s.x >= c.x),
+fitted AS (
+  SELECT s.match_id, s.outcome, CASE WHEN s.x0 IS NULL THEN c.v WHEN c.x IS NULL OR s.x0 = c.x THEN s.v0
+         ELSE s.v0 + (c.v - s.v0) * (s.x - s.x0) / (c.x - s.x0) END AS v
+  FROM below s ASOF LEFT JOIN curve c ON c.outcome = s.outcome AND s.x <= c.x),
+chances AS (
+  SELECT match_id, max(v) FILTER (WHERE outcome = '1') AS p1, max(v) FILTER (WHERE outcome = 'X') AS px,
+    max(v) FILTER (WHERE outcome = '2') AS p2 FROM fitted GROUP BY match_id)
+"""
+
 MART = f"""
 {CURVE.strip()},
 {ELO.strip()},
@@ -361,6 +408,13 @@ GROUP BY 1, 2, 3, 4, 5"""),
             for v, x in (("1", "e"), ("X", "0.5 - abs(e - 0.5)"), ("2", "1.0 - e"))
         )
     ),
+    "elo_probs": on_matches(
+        f", {ELO.strip()}, {RATING_CURVE.strip()} "
+        "SELECT match_id, result, round(e, 6) AS elo_expected_score, round(p1 / (p1 + px + p2), 6) AS elo_1, "
+        "round(px / (p1 + px + p2), 6) AS elo_x, round(p2 / (p1 + px + p2), 6) AS elo_2 "
+        "FROM chances JOIN rated USING (match_id)",
+        recursive=True,
+    ),
     "isotonic_curve": on_matches(f"""
 , {CURVE.strip()},
 ends AS (SELECT *, lag(v) OVER w AS before, lead(v) OVER w AS after FROM curve

@@ -460,7 +460,8 @@ def elo_probs(spark, sf_dir):
     rated = rating.rate_matches(matches).join(matches.select("match_id", "result"), "match_id")
     expected = expected_score(F.col("elo_home"), F.col("elo_away")).alias("elo_expected_score")
     rated = pinned(rated.select("match_id", "result", expected), "rated")
-    return calibration.rating_probabilities(rated, calibration.fit_rating_curves(rated))
+    scored = calibration.rating_probabilities(rated, calibration.fit_rating_curves(rated))
+    return _rounded(scored, 6, ["elo_expected_score", *triple("elo")])
 
 
 # --- calibration -----------------------------------------------------------------------
