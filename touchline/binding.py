@@ -23,8 +23,7 @@ g AS (
   FROM o),
 s AS (
   SELECT *,
-    CASE WHEN k % 11 = 0 THEN NULL WHEN u < s1 - 5 THEN 1 + p % 3 WHEN u < s1 + sx THEN p % 3 ELSE 0 END AS hg,
-    CASE WHEN k % 11 = 0 THEN NULL WHEN u < s1 - 5 THEN 0 WHEN u < s1 + sx THEN p % 3 ELSE 1 + p % 3 END AS ag
+    CASE WHEN k % 11 = 0 THEN NULL WHEN u < s1 - 5 THEN '1' WHEN u < s1 + sx THEN 'X' ELSE '2' END AS r
   FROM g),
 matches AS (
   SELECT CAST(floor(k / 13) AS INT) AS round_number, CAST(k % 13 + 1 AS INT) AS event_number, k AS match_id,
@@ -34,8 +33,9 @@ matches AS (
             WHEN '4-NOT SPECIFIED' THEN 'Cup' ELSE 'Foreign' END AS league,
     CAST(s1 AS DOUBLE) / 100 AS crowd_1, CAST(sx AS DOUBLE) / 100 AS crowd_x,
     CAST(100 - s1 - sx AS DOUBLE) / 100 AS crowd_2,
-    CAST(hg AS INT) AS home_goals, CAST(ag AS INT) AS away_goals,
-    CASE WHEN hg > ag THEN '1' WHEN hg = ag THEN 'X' WHEN hg < ag THEN '2' END AS result,
+    CAST(CASE r WHEN '1' THEN 1 + p % 3 WHEN 'X' THEN p % 3 WHEN '2' THEN 0 END AS INT) AS home_goals,
+    CAST(CASE r WHEN '1' THEN 0 WHEN 'X' THEN p % 3 WHEN '2' THEN 1 + p % 3 END AS INT) AS away_goals,
+    r AS result,
     CAST(100 + p % 400 AS DOUBLE) / 100 AS odds_1, CAST(250 + k % 300 AS DOUBLE) / 100 AS odds_x,
     CAST(150 + c % 500 AS DOUBLE) / 100 AS odds_2,
     CAST(105 + p % 400 AS DOUBLE) / 100 AS start_odds_1, CAST(240 + k % 300 AS DOUBLE) / 100 AS start_odds_x,
@@ -47,7 +47,7 @@ matches AS (
     CAST(CASE pr WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3
                  WHEN '4-NOT SPECIFIED' THEN 4 ELSE 5 END AS INT) AS league_id,
     CASE WHEN pr IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'Homeland' ELSE 'Abroad' END AS league_country,
-    CASE WHEN hg IS NULL THEN 'NotStarted' ELSE 'Ended' END AS status,
+    CASE WHEN k % 11 = 0 THEN 'NotStarted' ELSE 'Ended' END AS status,
     CAST(s1 * 100 + k % 50 AS DOUBLE) / 100 / 100 AS favourite_odds_1,
     CAST(sx * 100 AS DOUBLE) / 100 / 100 AS favourite_odds_x,
     CAST(10000 - s1 * 100 - sx * 100 - k % 50 AS DOUBLE) / 100 / 100 AS favourite_odds_2,

@@ -140,9 +140,8 @@ def overwrite_roundtrip(spark, sf_dir):
 def merge_update_matched(spark, sf_dir):
     start = F.lit(1500.0)
     target = _fact(spark, sf_dir).withColumns({"elo_home": start, "elo_away": start})
-    matches = relational.played(binding.matches(spark, sf_dir))
-    ratings = _cheap_ratings(matches).join(matches.select("match_id", "result"), "match_id")
-    source = ratings.select(
+    rated = _expected_in_place(relational.played(binding.matches(spark, sf_dir)))
+    source = rated.select(
         F.col("match_id").alias("match_key"),
         F.when(F.col("result") != "X", F.col("elo_home")).alias("elo_home"),
         "elo_away",

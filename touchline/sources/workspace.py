@@ -19,9 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
-    folder = tempfile.mkdtemp(prefix="touchline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
