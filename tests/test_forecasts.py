@@ -118,9 +118,9 @@ def plain_isotonic(x, y):
     hits = np.array([y[x == v].sum() for v in xs])
     n = np.array([(x == v).sum() for v in xs])
     ch, cn = np.concatenate([[0], hits.cumsum()]), np.concatenate([[0], n.cumsum()])
-    means = lambda i, j: (ch[j + 1] - ch[i]) / (cn[j + 1] - cn[i])
-    k = range(len(xs))
-    return xs, np.array([max(min(means(i, j) for j in k if j >= m) for i in k if i <= m) for m in k])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        means = (ch[None, 1:] - ch[:-1, None]) / (cn[None, 1:] - cn[:-1, None])
+    return xs, np.array([means[: m + 1, m:].min(axis=1).max() for m in range(len(xs))])
 
 
 def test_curves_equal_the_definition(spark):
