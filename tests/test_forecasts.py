@@ -77,6 +77,18 @@ def test_sliced_ratings_equal_the_loop(spark):
     assert_same(rated(spark, rows, task_rows=60), plain_ratings(rows))
 
 
+def test_copies_do_not_pile_up_in_a_slice(spark):
+    """Rows that share start and id are folded in input order and spread over slices."""
+    copies = [(1, "2024-01-01", "A", "B", "1")] * 90
+    df = spark.createDataFrame(copies, LOG).coalesce(1)
+    one = rate_matches(df).collect()
+    sliced = rate_matches(df, task_rows=30)
+    assert sorted(one) == sorted(sliced.collect())
+    assert max(r.elo_home for r in one) > 1600
+    sizes = sliced.groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 60
+
+
 def test_grouped_ratings_equal_the_loop(spark):
     """Many teams: several slices are folded together, group by group."""
     rows = made_log(4, 240, 400)

@@ -31,7 +31,7 @@ STEP = 20.0
 TASK_ROWS = 2_000_000
 
 
-CARRIED = ["match_start", "home_team", "away_team"]
+CARRIED = ["row", "match_start", "home_team", "away_team"]
 
 
 def _fold(step: float, home_bonus: float, start_rating: float, carry: bool):
@@ -77,17 +77,23 @@ def _fold(step: float, home_bonus: float, start_rating: float, carry: bool):
     return fold
 
 
+def _time_order() -> list[Column]:
+    """By start and id. The row number keeps the order of rows that share both, and lets
+    slices be cut between them, however many there are."""
+    return [F.asc_nulls_last("match_start"), F.asc("match_id"), F.asc("row")]
+
+
 def _folded(
     log: DataFrame, step: float, home_bonus: float, start_rating: float, carry: bool
 ) -> DataFrame:
     """Fold every partition of ``log`` in time order."""
-    ordered = log.sortWithinPartitions(F.asc_nulls_last("match_start"), F.asc("match_id"))
+    ordered = log.sortWithinPartitions(*_time_order())
     kept = ["match_id", *CARRIED] if carry else ["match_id"]
     ratings = ["elo_home", "elo_away", *(["home_after", "away_after"] if carry else [])]
     schema = [f"{name} {log.schema[name].dataType.simpleString()}" for name in kept]
     schema += [f"{name} double" for name in ratings]
     if not carry:
-        ordered = ordered.drop("match_start")
+        ordered = ordered.drop("match_start", "row")
     return ordered.mapInPandas(_fold(step, home_bonus, start_rating, carry), ", ".join(schema))
 
 
@@ -103,7 +109,12 @@ def rate_matches(
     Unplayed matches are rated and change nothing.
     """
     log = matches.select(
-        "match_id", "match_start", "home_team", "away_team", points(F.col("result")).alias("points")
+        "match_id",
+        "match_start",
+        "home_team",
+        "away_team",
+        points(F.col("result")).alias("points"),
+        F.monotonically_increasing_id().alias("row"),
     )
     rows = log.count()
     if rows <= task_rows:
@@ -120,7 +131,7 @@ def _rate_in_slices(
     folder = new_folder(spark, "ratings")
     slices = math.ceil(rows / task_rows)
     (
-        log.repartitionByRange(slices, F.asc_nulls_last("match_start"), F.asc("match_id"))
+        log.repartitionByRange(slices, *_time_order())
         .withColumn("slice", F.spark_partition_id())
         .write.partitionBy("slice")
         .parquet(f"{folder}/log")
@@ -201,9 +212,9 @@ def _ratings_after(folded: DataFrame, ratings: DataFrame | None) -> DataFrame:
         )
         for rank, side in enumerate(("home", "away"))
     ]
-    moment = F.struct(F.col("match_start").isNull(), "match_start", "match_id", "side")
+    moment = F.struct(F.col("match_start").isNull(), "match_start", "match_id", "row", "side")
     last = (
-        folded.select("match_start", "match_id", F.inline(F.array(*sides)))
+        folded.select("match_start", "match_id", "row", F.inline(F.array(*sides)))
         .groupBy("team")
         .agg(F.max_by("rating", moment).alias("rating"))
     )
