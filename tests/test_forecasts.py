@@ -195,6 +195,8 @@ def test_calibration_metrics(spark):
     assert got["brier_raw_1"] == 0.25 and got["brier_calibrated_1"] == 0.0
     assert got["brier_raw_pooled"] == pytest.approx((0.25 + 0.09 + 0.04) / 3)
     assert got["rows"] == 2
+    named = calibration.calibration_metrics(df, run="first")
+    assert named.columns == ["run", "metric", "value"] and named.first().run == "first"
 
 
 PAIRED = (

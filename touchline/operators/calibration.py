@@ -93,8 +93,11 @@ def rating_probabilities(
     return _apply(df, curves, {v: outcome_signal(v, F.col(expected)) for v in LABELS}, prefix)
 
 
-def calibration_metrics(df: DataFrame, raw: str = "crowd", fitted: str = "calibrated") -> DataFrame:
-    """Brier scores before and after, per outcome and pooled, as ``(metric, value)`` rows.
+def calibration_metrics(
+    df: DataFrame, raw: str = "crowd", fitted: str = "calibrated", run: str | None = None
+) -> DataFrame:
+    """Brier scores before and after, per outcome and pooled, as ``(metric, value)`` rows,
+    marked with ``run`` if one is named, so that the rows of several runs can be appended.
 
     In-sample if the curves were fitted on the same rows. One pass gives all of them.
     """
@@ -110,4 +113,5 @@ def calibration_metrics(df: DataFrame, raw: str = "crowd", fitted: str = "calibr
     parts.append(F.count("*").alias("rows"))
     metrics.append(("rows", F.col("rows").cast("double")))
     rows = [F.struct(F.lit(n).alias("metric"), v.alias("value")) for n, v in metrics]
-    return df.agg(*parts).select(F.inline(F.array(*rows)))
+    named = [] if run is None else [F.lit(run).alias("run")]
+    return df.agg(*parts).select(*named, F.inline(F.array(*rows)))
