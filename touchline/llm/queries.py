@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
+from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.text import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,31 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+v AS (SELECT doc_id, l, list_transform(l, lambda x: CAST('0x' || md5(x)[1:6] AS BIGINT)) AS v FROM d),
+e AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i:
+  i = len(l) OR (v[i] + CASE WHEN i > 1 THEN v[i - 1] * 31 ELSE 0 END) % 4 = 0) AS e FROM v),
+c AS (SELECT doc_id, l, unnest(list_transform(range(1, len(e) + 1), lambda j:
+  {'s': CASE WHEN j > 1 THEN e[j - 1] ELSE 0 END, 'e': e[j]})) AS c FROM e),
+t AS (SELECT doc_id, c.s AS s, c.e - c.s AS n, array_to_string(l[c.s + 1:c.e], chr(10)) AS chunk FROM c
+  WHERE len(list_filter(l[c.s + 1:c.e], lambda x: trim(x, ' ') <> '')) > 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) AS k FROM t),
+gone AS (SELECT doc_id, list(s + i) AS lines FROM (SELECT doc_id, s, unnest(range(1, n + 1)) AS i FROM r WHERE k > 1) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(CASE WHEN lines IS NULL THEN text ELSE
+    array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(lines, i)), lambda i: l[i]), chr(10))
+  END, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)""")
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines of every document belong to chunks that stand elsewhere, and what is left."""
+    marked = mark_repeated(table(spark, folder, "documents"))
+    removed = F.aggregate("__spans", F.lit(0).cast("long"), lambda total, s: total + s["n"])
+    return marked.select(
+        "doc_id",
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(split_lines(F.col("text")))).cast("long").alias("n_lines"),
+        F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
+        F.sha2(F.coalesce(kept_text(F.col("text"), F.col("__spans")), F.lit("")), 256).alias("kept_sha256"),
+    )

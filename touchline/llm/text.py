@@ -27,3 +27,12 @@ def rows_key(text: Column) -> Column:
     """Tells apart rows that share an id but not a text. Rows equal in both are alike in
     every result, so they may share a key."""
     return F.xxhash64(text)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    Catalyst puts an expression in place of a column that is used once, within a lambda
+    too, where it would be computed anew for each element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
