@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
+from touchline.llm.simhash import near_groups
 from touchline.llm.text import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +129,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
         F.sha2(F.coalesce(kept_text(F.col("text"), F.col("__spans")), F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and the smallest id it reaches over near fingerprints."""
+    groups = near_groups(table(spark, folder, "documents"), shingle=3, distance=2)
+    return groups.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
