@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm import quality, toxicity
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.simhash import near_groups
 from touchline.llm.text import table
+from touchline.sources.workspace import pinned
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -138,3 +140,30 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query()
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Calibrated quality of every document."""
+    stats = pinned(quality.statistics_of(table(spark, folder, "documents")), "stats")
+    model = quality.fit(quality.training(stats, table(spark, folder, "labels"), "quality"), "quality")
+    return quality.score_statistics(stats, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, and the sentences it comes from."""
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"), "toxic"))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "offending",
+    )
