@@ -11,6 +11,7 @@ from touchline.llm import quality, toxicity
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
+from touchline.llm.packing import pack
 from touchline.llm.simhash import near_groups
 from touchline.llm.text import table
 from touchline.sources.workspace import pinned
@@ -167,3 +168,19 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
         "offending",
     )
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, on every machine alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 2048 tokens."""
+    pieces = pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), room=2048, end=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
