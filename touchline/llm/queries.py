@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from touchline.llm import quality, toxicity
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
+from touchline.llm.imatch import fingerprints_of_edits, likeness, shown
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.packing import pack
 from touchline.llm.simhash import near_groups
@@ -184,3 +185,18 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query()
+def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    """I-Match fingerprint of every document, of its edited text, and their likeness."""
+    found = fingerprints_of_edits(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        shown(F.col("hashes")).alias("fingerprint"),
+        shown(F.col("edited_hashes")).alias("edited_fingerprint"),
+        likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+    )
