@@ -14,6 +14,7 @@ from touchline.llm.imatch import fingerprints_of_edits, likeness, shown
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.packing import pack
 from touchline.llm.simhash import near_groups
+from touchline.llm.substring import dedup_substrings
 from touchline.llm.text import table
 from touchline.sources.workspace import pinned
 
@@ -200,3 +201,20 @@ def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
         likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
         likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
     )
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS s, w FROM d),
+k AS (SELECT doc_id, s, array_to_string(w[s:s + 49], ' ') AS win FROM s),
+f AS (SELECT win, min(doc_id) AS first FROM k GROUP BY win),
+gone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM
+  (SELECT k.doc_id, unnest(range(s, s + 50)) AS p FROM k JOIN f USING (win) WHERE first < doc_id) GROUP BY doc_id),
+r AS (SELECT doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ')) AS kept_sha256
+FROM r""")
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without 50-word windows of earlier documents."""
+    left = dedup_substrings(table(spark, folder, "documents"), window=50)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
