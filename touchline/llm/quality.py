@@ -227,5 +227,14 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 def training(stats: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """The rows to learn from, with their label."""
-    known = labels.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label))
-    return stats.join(known, "doc_id")
+    return stats.join(_known(labels, label), "doc_id")
+
+
+def _known(labels: DataFrame, label: str) -> DataFrame:
+    return labels.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label))
+
+
+def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """The same from texts. Statistics are taken where the texts lie; they, not the texts, travel to
+    the labels."""
+    return training(statistics_of(docs), labels, label)

@@ -11,6 +11,7 @@ from touchline.llm import quality, toxicity
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
 from touchline.llm.imatch import fingerprints_of_edits, likeness, shown
+from touchline.llm.langid import identify
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.packing import pack
 from touchline.llm.simhash import near_groups
@@ -218,3 +219,9 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without 50-word windows of earlier documents."""
     left = dedup_substrings(table(spark, folder, "documents"), window=50)
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every page, from its text, markup, address and host."""
+    return identify(table(spark, folder, "pages"), table(spark, folder, "documents").select("doc_id", "text", "lang"))
