@@ -135,7 +135,7 @@ def pool_adjacent(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(n, v) for v, _, n in blocks])
 
 
-def fit(labelled: DataFrame, label: str, features: int = 192, width: float = 4.0, ridge: float = 1e-3, seed: int = 7) -> QualityModel:
+def fit(labelled: DataFrame, label: str, features: int = 192, width: float = 8.0, ridge: float = 1e-2, seed: int = 7) -> QualityModel:
     """Fit on ``labelled(stats, <label>)``; ``width`` is the kernel's, in standard deviations.
 
     Only sums reach the driver: the normal equations (``features`` squared) and the bins.
