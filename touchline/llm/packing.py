@@ -20,6 +20,7 @@ import unicodedata
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,19 +60,38 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.stops = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.stops[[i for token, i in vocabulary.items() if token[0] in ".!?"]] = True
+        self.last = np.zeros_like(self.stops)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_pieces(self, pieces: list[str], together: int = 512) -> list[bytes]:
+        """The ids of pieces that are one word each: many make a text, whose ids are told apart
+        by the mark on the last id of a word."""
+        found = []
+        parts = [pieces[at : at + together] for at in range(0, len(pieces), together)]
+        for part, ids in zip(parts, self._encode([" ".join(part) for part in parts])):
+            ends = (np.flatnonzero(self.last[np.frombuffer(ids, "<u4")]) + 1) * 4
+            if len(ends) == len(part):
+                found += [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            else:
+                found += self._encode(part)
+        return found
+
     def _learn(self, new: list[str]) -> None:
-        split = {}
+        split, odd = {}, []
         for word in new:
-            simple = max(word) <= LATIN and DOTTED_I not in word and unicodedata.is_normalized("NFC", word)
-            split[word] = PIECE.findall(word.lower()) if simple else [word]
+            if word.isascii() or (max(word) <= LATIN and DOTTED_I not in word and unicodedata.is_normalized("NFC", word)):
+                lower = word.lower()
+                split[word] = [lower] if lower.isalpha() else PIECE.findall(lower)
+            else:
+                odd.append(word)
         unknown = list({p for found in split.values() for p in found if p not in self.pieces})
-        self.pieces.update(zip(unknown, self._encode(unknown)))
+        self.pieces.update(zip(unknown, self._encode_pieces(unknown)))
         for word, found in split.items():
-            self.words[word] = b"".join([self.pieces[p] for p in found])
+            self.words[word] = self.pieces[found[0]] if len(found) == 1 else b"".join([self.pieces[p] for p in found])
+        self.words.update(zip(odd, self._encode(odd)))
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, and the end mark."""
@@ -92,6 +112,12 @@ class WordTokenizer:
         return found
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str, end: int) -> WordTokenizer:
+    """One memory per Python worker, which later tasks find filled."""
+    return WordTokenizer(path, end)
+
+
 def choose_cuts(places: np.ndarray, penalties: np.ndarray, room: int, opening: float = 0.0) -> list[int]:
     """The cuts, from the first to the last of ``places``, that minimise padding and penalties.
 
@@ -135,7 +161,7 @@ class Packer:
 
     def __init__(self, stops: np.ndarray, first_id: int, room: int, block: int, stride: int, sentence: float, inside: float, opening: float):
         self.stops, self.sequence = stops, first_id
-        self.room, self.block, self.stride, self.sentence, self.inside, self.opening = room, block, stride, sentence, inside, opening
+        self.room, self.block, self.stride, self.sentence, self.inside, self.opening = room, block, min(stride, room), sentence, inside, opening
         self.held: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
         self.tokens = 0
 
@@ -208,7 +234,7 @@ def pack(
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer, end)
+        words = word_tokenizer(tokenizer, end)
         packer = Packer(words.stops, TaskContext.get().partitionId() << 40, room, block, stride, sentence, inside, opening)
         id_type = None
 
