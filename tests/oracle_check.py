@@ -76,9 +76,11 @@ def differences(df, connection, sql: str) -> list[str]:
 def main() -> int:
     from pyspark.sql import SparkSession
 
-    from touchline.oracles import ORACLES
-    from touchline.registry import QUERIES
+    import __spark_entry__
+    from touchline.registry import drop_databases
+    from touchline.sources.workspace import clear_workspace
 
+    QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(QUERIES)
     spark = (
@@ -102,6 +104,8 @@ def main() -> int:
                 found = [] if QUERIES[key](spark, folder).count() else ["no rows"]
         except Exception as error:  # report and go on with the next query
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
+        drop_databases(spark)
+        clear_workspace(spark)
         failures += bool(found)
         kind = "ok" if key in ORACLES else "ok (rows only)"
         print(f"{key:24s} {time.time() - began:6.1f}s {'; '.join(found) or kind}", flush=True)

@@ -1,7 +1,8 @@
 """The flat match table over the TPC-H-like ``orders`` table.
 
 The same text runs on Spark and on a plain SQL engine, so results can be compared. Spark
-reads only the columns a query needs.
+reads only the columns a query needs. Every customer is a team; forty of them in a row form a
+pool that plays within itself, so that the number of pools grows with the data.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ o AS (
          CAST(floor(o_totalprice) AS BIGINT) AS p, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS pr
   FROM orders),
 g AS (
-  SELECT *, c % 40 AS h, (c % 40 + 1 + k % 39) % 40 AS a,
+  SELECT *, c AS h, c - c % 40 + (c % 40 + 1 + k % 39) % 40 AS a,
          20 + p % 51 AS s1, 10 + c % 20 AS sx, (p * 7 + c * 13 + k * 29) % 100 AS u
   FROM o),
 s AS (

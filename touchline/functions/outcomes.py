@@ -21,8 +21,7 @@ def triple(prefix: str) -> list[str]:
 
 def result_label(home_goals: Column, away_goals: Column) -> Column:
     """``1``, ``X`` or ``2``; NULL goals match no branch, so an unplayed match stays NULL."""
-    margin = F.signum(home_goals - away_goals)
-    return F.when(margin > 0, "1").when(margin == 0, "X").when(margin < 0, "2")
+    return F.when(home_goals > away_goals, "1").when(home_goals < away_goals, "2").when(home_goals == away_goals, "X")
 
 
 def occurred(label: str) -> Column:

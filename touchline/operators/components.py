@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from touchline.sources.workspace import pinned
 
 
-def connected_components(pairs: DataFrame, max_rounds: int = 12) -> DataFrame | None:
+def connected_components(pairs: DataFrame) -> DataFrame:
     """Label every node of ``pairs(left, right)`` with the smallest node it can reach.
 
     Each round hands every node the smallest label among its neighbours, then the label of
     the node so named; that second step doubles the distance covered. A round's result is
     written, so that neither the plan nor the loss of an executor makes a round repeat the
-    ones before it. Returns ``(node, component)``, or None if ``max_rounds`` do not settle the labels.
+    ones before it. Returns ``(node, component)``. The rounds go on until no label changes.
     """
     distinct = pairs.select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b"))
     both = distinct.distinct().select(
@@ -30,7 +30,7 @@ def connected_components(pairs: DataFrame, max_rounds: int = 12) -> DataFrame |
         links.groupBy("node").agg(F.least(F.min("neighbour"), F.col("node")).alias("component")),
         "labels",
     )
-    for _ in range(max_rounds):
+    while True:
         heard = (
             links.join(labels.withColumnRenamed("node", "neighbour"), "neighbour")
             .groupBy("node")
@@ -49,4 +49,3 @@ def connected_components(pairs: DataFrame, max_rounds: int = 12) -> DataFrame |
         labels = step.select("node", "component")
         if step.filter("changed").limit(1).isEmpty():
             return labels
-    return None

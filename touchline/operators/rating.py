@@ -1,28 +1,28 @@
-"""Pre-match Elo ratings: a chronological fold over all matches, in one pool.
+"""Pre-match Elo ratings: a chronological fold over all matches that can influence one another.
 
-A rating depends on every earlier match of both sides, so matches that can influence one
-another have to be folded in order. Two things keep the work spread and bounded:
+A rating depends on every earlier match of both sides, but on no match of teams that are
+linked to neither. The matches are therefore split into the connected components of the
+graph of teams, which are folded in parallel, each in time order within one task.
 
-* Time slices. The matches are range-partitioned by time and written once. Slices are
-  folded one after the other; the ratings between them are a written table. No task ever
-  folds more than about ``task_rows`` rows, and a lost executor repeats one slice at most.
-* Components. Where there are many teams, several slices are taken together and split
-  into groups of teams that do not meet within them. Such groups are folded in parallel.
-  Should a group exceed ``task_rows``, fewer slices are taken together.
+A component is sequential by nature. So that no task and no retry folds more than about
+``task_rows`` rows of one, the matches are cut into as many time slices as the largest component
+needs, one in most cases. Slices are folded in turn, the components of each in parallel; the
+ratings between them are a written table. The result is that of one fold over everything.
 
-The result is that of one fold over everything, whatever the slicing.
+Limit: where all teams are linked, as in one league system, a slice is one task's work.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import HOME_BONUS, points
 from touchline.operators.components import connected_components
-from touchline.sources.workspace import new_folder
+from touchline.sources.workspace import pinned
 
 # Fixed values of the rating system.
 START_RATING = 1500.0
@@ -30,48 +30,33 @@ STEP = 20.0
 
 TASK_ROWS = 2_000_000
 
+CARRIED = ["component", "row", "match_start", "home_team", "away_team"]
 
-CARRIED = ["row", "match_start", "home_team", "away_team"]
 
-
-def _fold(step: float, home_bonus: float, start_rating: float, carry: bool):
-    """The fold over the Arrow batches of one task. Only current ratings are kept.
-
-    With ``carry`` a team's first rating is the one its row brings along, and the ratings
-    after every match are given too.
-    """
-
-    kept = ["match_id", *CARRIED] if carry else ["match_id"]
+def _fold(step: float, home_bonus: float):
+    """The fold over the Arrow batches of one task. Only current ratings are kept. A team's
+    first rating is the one its row brings along; the ratings after a match are given too."""
 
     def fold(batches):
-        from itertools import repeat
-
         current = {}
         for batch in batches:
-            home_before, away_before, home_after, away_after = [], [], [], []
-            level = repeat(start_rating)
+            before, after = [], []
             for home, away, took, home_start, away_start in zip(
-                batch["home_team"].tolist(),
-                batch["away_team"].tolist(),
-                batch["points"].tolist(),
-                batch["home_start"].tolist() if carry else level,
-                batch["away_start"].tolist() if carry else level,
+                *(batch[name].tolist() for name in ("home_team", "away_team", "points", "home_start", "away_start"))
             ):
                 h = current.get(home, home_start)
                 a = current.get(away, away_start)
-                home_before.append(h)
-                away_before.append(a)
+                before.append((h, a))
                 if took == took:  # not NaN: the match has a result
                     shift = step * (took - 1.0 / (1.0 + 10.0 ** ((a - h - home_bonus) / 400.0)))
                     h, a = h + shift, a - shift
                     current[home] = h
                     current[away] = a
-                if carry:
-                    home_after.append(h)
-                    away_after.append(a)
-            rated = batch[kept].assign(elo_home=home_before, elo_away=away_before)
-            if carry:
-                rated = rated.assign(home_after=home_after, away_after=away_after)
+                after.append((h, a))
+            rated = batch[["match_id", *CARRIED]]
+            for names, pairs in ((("elo_home", "elo_away"), before), (("home_after", "away_after"), after)):
+                for side, name in enumerate(names):
+                    rated = rated.assign(**{name: [pair[side] for pair in pairs]})
             yield rated
 
     return fold
@@ -83,31 +68,19 @@ def _time_order() -> list[Column]:
     return [F.asc_nulls_last("match_start"), F.asc("match_id"), F.asc("row")]
 
 
-def _folded(
-    log: DataFrame, step: float, home_bonus: float, start_rating: float, carry: bool
-) -> DataFrame:
-    """Fold every partition of ``log`` in time order."""
-    ordered = log.sortWithinPartitions(*_time_order())
-    kept = ["match_id", *CARRIED] if carry else ["match_id"]
-    ratings = ["elo_home", "elo_away", *(["home_after", "away_after"] if carry else [])]
-    schema = [f"{name} {log.schema[name].dataType.simpleString()}" for name in kept]
-    schema += [f"{name} double" for name in ratings]
-    if not carry:
-        ordered = ordered.drop("match_start", "row")
-    return ordered.mapInPandas(_fold(step, home_bonus, start_rating, carry), ", ".join(schema))
-
+def _folded(part: DataFrame, step: float, home_bonus: float) -> DataFrame:
+    """Fold every component of ``part`` in time order. The number of tasks is set, as adaptive
+    execution would put rows that are few into a single task, however long they take."""
+    tasks = int(part.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = part.repartition(tasks, "component").sortWithinPartitions(*_time_order())
+    kept = ["match_id", *CARRIED]
+    schema = [f"{name} {part.schema[name].dataType.simpleString()}" for name in kept]
+    schema += [f"{name} double" for name in ("elo_home", "elo_away", "home_after", "away_after")]
+    return ordered.mapInPandas(_fold(step, home_bonus), ", ".join(schema))
 
-def rate_matches(
-    matches: DataFrame,
-    start_rating: float = START_RATING,
-    step: float = STEP,
-    home_bonus: float = HOME_BONUS,
-    task_rows: int = TASK_ROWS,
-) -> DataFrame:
-    """``(match_id, elo_home, elo_away)``: both ratings as they stood before every match.
 
-    Unplayed matches are rated and change nothing.
-    """
+def _by_component(matches: DataFrame) -> DataFrame:
+    """What the fold needs of every match, and the component of its teams."""
     log = matches.select(
         "match_id",
         "match_start",
@@ -116,57 +89,36 @@ def rate_matches(
         points(F.col("result")).alias("points"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = log.count()
-    if rows <= task_rows:
-        rated = _folded(log.repartition(1), step, home_bonus, float(start_rating), carry=False)
-    else:
-        rated = _rate_in_slices(log, rows, start_rating, step, home_bonus, task_rows)
-    return rated.select("match_id", "elo_home", "elo_away")
+    teams = connected_components(log.select(_node("home_team").alias("left"), _node("away_team").alias("right")))
+    return log.join(teams, _node("home_team") == F.col("node")).drop("node")
 
 
-def _rate_in_slices(
-    log: DataFrame, rows: int, start_rating: float, step: float, home_bonus: float, task_rows: int
+def rate_matches(
+    matches: DataFrame,
+    start_rating: float = START_RATING,
+    step: float = STEP,
+    home_bonus: float = HOME_BONUS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    spark = log.sparkSession
-    folder = new_folder(spark, "ratings")
-    slices = math.ceil(rows / task_rows)
-    (
-        log.repartitionByRange(slices, *_time_order())
-        .withColumn("slice", F.spark_partition_id())
-        .write.partitionBy("slice")
-        .parquet(f"{folder}/log")
-    )
-    log = spark.read.parquet(f"{folder}/log")
-    teams = log.select(F.explode(F.array("home_team", "away_team")).alias("team"))
-    # Random matches among many teams stay in small groups while they are fewer than half
-    # as many as the teams; a quarter leaves room.
-    many = teams.agg(F.approx_count_distinct("team")).first()[0] // 4
-    wide = max(1, many // task_rows)
-
-    ratings, first, turn, outputs = None, 0, 0, []
-    while first < slices:
-        taken = min(wide, slices - first)
-        part = log.filter(F.col("slice").between(first, first + taken - 1)).drop("slice")
-        groups = _separate_groups(part, task_rows) if taken > 1 else None
-        while taken > 1 and groups is None:
-            taken //= 2
-            part = log.filter(F.col("slice").between(first, first + taken - 1)).drop("slice")
-            groups = _separate_groups(part, task_rows) if taken > 1 else None
-        placed = _with_start(part, ratings, start_rating)
-        if groups is None:
-            placed = placed.repartition(1)
-        else:
-            placed = placed.join(groups, _node("home_team") == F.col("node")).drop("node")
-            placed = placed.repartition("component").drop("component")
-        path = f"{folder}/rated/turn={turn}"
-        _folded(placed, step, home_bonus, start_rating, carry=True).write.parquet(path)
-        outputs.append(path)
-        first, turn = first + taken, turn + 1
-        if first < slices:
-            state = f"{folder}/state/turn={turn}"
-            _ratings_after(spark.read.parquet(path), ratings).write.parquet(state)
-            ratings = spark.read.parquet(state)
-    return spark.read.parquet(*outputs)
+    """``(match_id, elo_home, elo_away)``: both ratings as they stood before every match.
+
+    Unplayed matches are rated and change nothing.
+    """
+    log = pinned(_by_component(matches), "log")
+    largest = log.groupBy("component").count().agg(F.max("count")).first()[0] or 0
+    slices = max(1, math.ceil(largest / task_rows))
+    if slices > 1:
+        cut = log.repartitionByRange(slices, *_time_order()).withColumn("slice", F.spark_partition_id())
+        log = pinned(cut, "slices")
+    ratings, folded = None, []
+    for turn in range(slices):
+        part = log.filter(F.col("slice") == turn).drop("slice") if slices > 1 else log
+        done = _folded(_with_start(part, ratings, start_rating), step, home_bonus)
+        if slices > 1:
+            done = pinned(done, "rated")
+            ratings = pinned(_ratings_after(done, ratings), "state")
+        folded.append(done.select("match_id", "elo_home", "elo_away"))
+    return reduce(DataFrame.unionAll, folded)
 
 
 def _node(side: str) -> Column:
@@ -175,17 +127,6 @@ def _node(side: str) -> Column:
     return F.coalesce(F.col(side), F.lit(""))
 
 
-def _separate_groups(part: DataFrame, task_rows: int) -> DataFrame | None:
-    """``(node, component)`` of the teams, or None if some group is too large for a task."""
-    groups = connected_components(
-        part.select(_node("home_team").alias("left"), _node("away_team").alias("right"))
-    )
-    if groups is None:
-        return None
-    sizes = part.join(groups, _node("home_team") == F.col("node")).groupBy("component").count()
-    return groups if sizes.filter(F.col("count") > task_rows).limit(1).isEmpty() else None
-
-
 def _with_start(part: DataFrame, ratings: DataFrame | None, start_rating: float) -> DataFrame:
     """Add the rating of both sides at the start of the slice."""
     fresh = F.lit(float(start_rating))

@@ -54,19 +54,21 @@ dates AS (
         FROM matches))
 """
 
-# A fold over all matches in order; the state is the list of the forty ratings.
+# A fold over the matches of each pool of forty teams in order, all pools in step; the state is
+# the list of a pool's ratings.
 ELO = """
 seq AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY match_date, match_id) AS n, match_id,
-    CAST(substr(home_team, 6) AS INT) + 1 AS h, CAST(substr(away_team, 6) AS INT) + 1 AS a,
+  SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY match_date, match_id) AS n, match_id,
+    CAST(home % 40 + 1 AS INT) AS h, CAST(away % 40 + 1 AS INT) AS a,
     CASE result WHEN '1' THEN 1.0 WHEN 'X' THEN 0.5 WHEN '2' THEN 0.0 END AS points
-  FROM matches),
+  FROM (SELECT *, CAST(substr(home_team, 6) AS BIGINT) AS home, CAST(substr(away_team, 6) AS BIGINT) AS away,
+          CAST(substr(home_team, 6) AS BIGINT) // 40 AS pool FROM matches)),
 fold AS (
-  SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS match_id, CAST(NULL AS DOUBLE) AS elo_home,
+  SELECT DISTINCT pool, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS match_id, CAST(NULL AS DOUBLE) AS elo_home,
     CAST(NULL AS DOUBLE) AS elo_away,
-    list_transform(generate_series(1, 40), lambda v: CAST(1500 AS DOUBLE)) AS ratings
+    list_transform(generate_series(1, 40), lambda v: CAST(1500 AS DOUBLE)) AS ratings FROM seq
   UNION ALL
-  SELECT q.n, q.match_id, f.ratings[q.h], f.ratings[q.a],
+  SELECT q.pool, q.n, q.match_id, f.ratings[q.h], f.ratings[q.a],
     CASE WHEN q.points IS NULL THEN f.ratings ELSE
       list_transform(f.ratings, lambda v, i:
         CASE WHEN i = q.h THEN v + 20.0 * (CAST(q.points AS DOUBLE)
@@ -74,7 +76,7 @@ fold AS (
              WHEN i = q.a THEN v - 20.0 * (CAST(q.points AS DOUBLE)
                - 1.0 / (1.0 + pow(10.0, (f.ratings[q.a] - (f.ratings[q.h] + 65.0)) / 400.0)))
              ELSE v END) END
-  FROM fold f JOIN seq q ON q.n = f.n + 1),
+  FROM fold f JOIN seq q ON q.pool = f.pool AND q.n = f.n + 1),
 elo AS (SELECT match_id, elo_home, elo_away FROM fold WHERE n > 0)
 """
 
@@ -264,6 +266,14 @@ plan AS (
   FROM (SELECT unnest(generate_series(0, (SELECT max(round_number) FROM matches))) AS i))
 """
 
+def _flat(interaction: bool) -> str:
+    """No slope is left in any coefficient of a fitted pool."""
+    names = ["intercept", *(f"logit_{source}_{s}" for source in ("crowd", "elo") for s in "1x2")]
+    names += [f"interaction_{s}" for s in "1x2"] if interaction else []
+    rows = ", ".join(f"('{label}', '{name}', CAST(0 AS DOUBLE))" for label in "1X2" for name in names)
+    return f"SELECT * FROM (VALUES {rows}) AS t(class, feature, slope)"
+
+
 ORACLES: dict[str, str] = {
     "scan_table": "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem",
     "inline_relation": on_matches(
@@ -299,7 +309,21 @@ FROM matches"""),
     ),
     "scan_json_documents": on_matches(
         "SELECT CAST(round_number AS BIGINT) AS round_number, count(*) AS events "
-        "FROM matches WHERE status = 'Ended' GROUP BY 1"
+        "FROM matches GROUP BY 1"
+    ),
+    "load_rejects": on_matches(
+        "SELECT 'error' AS reason, count(DISTINCT round_number) AS rows FROM matches WHERE round_number % 17 = 3 "
+        "UNION ALL SELECT 'corrupt', count(DISTINCT round_number) FROM matches WHERE round_number % 23 = 5 "
+        "UNION ALL SELECT 'events of accepted', count(*) FROM matches"
+    ),
+    "unrated_events": on_matches(
+        "SELECT round_number, event_number, match_id AS match_key FROM matches "
+        "WHERE round_number >= (SELECT max(round_number) FROM matches) - 40 AND match_id % 3 = 0"
+    ),
+    "pool_gradient": _flat(interaction=False),
+    "pool_gradient_interaction": _flat(interaction=True),
+    "pool_balance": on_matches(
+        "SELECT result AS class, count(*) AS matches FROM matches WHERE result IS NOT NULL GROUP BY 1"
     ),
     "extract_events": on_matches(
         "SELECT CAST(round_number AS BIGINT) AS round_number, CAST(event_number AS BIGINT) AS event_number, "

@@ -26,20 +26,20 @@ from touchline.operators.judging import (
 from touchline.operators.parallel import together
 from touchline.operators.pooling import apply_pool, fit_pool, pool_coefficients
 from touchline.operators.rating import rate_matches
-from touchline.operators.relational import blend, scope_to, split_at
+from touchline.operators.relational import mixed, scope_to, with_part
 from touchline.plans.dimensions import LEAGUE_COUNTRY
 from touchline.sources.workspace import pinned
 
 # Fixed value: the day from which matches are judged.
 CUTOFF = "2023-07-01"
-FORECASTS = ["even", "crowd", "calibrated", "elo", "combined", "fitted", "pooled", "pooledx"]
+FORECASTS = ["even", "crowd", "calibrated", "elo", "halves", "best_mix", "pool", "pool_by_odds"]
 PAIRS = [
     ("crowd", "calibrated"),
     ("calibrated", "elo"),
-    ("calibrated", "combined"),
-    ("calibrated", "fitted"),
-    ("calibrated", "pooled"),
-    ("calibrated", "pooledx"),
+    ("calibrated", "halves"),
+    ("calibrated", "best_mix"),
+    ("calibrated", "pool"),
+    ("calibrated", "pool_by_odds"),
 ]
 
 
@@ -56,17 +56,19 @@ class Backtest:
     coefficients: DataFrame
 
     def report(self) -> DataFrame:
-        """All numbers as ``(section, item, metric, value)`` rows."""
-        scope = self.everything.select(F.lit("all").alias("part"), F.col("matches"))
-        parts = scope.unionByName(self.split.select("part", "matches", "share"), True)
+        """All numbers as ``(section, item, metric, value)`` rows. Days count from 1970-01-01; a
+        verdict is 1 for better, -1 for worse and 0 where no difference was measurable."""
+        parts = self.everything.withColumn("part", F.lit("all")).unionByName(self.split, True)
+        parts = parts.withColumns({day: F.unix_date(day) for day in ("first_day", "last_day")})
+        side = F.when(F.col("verdict") == "better", 1).when(F.col("verdict") == "worse", -1).otherwise(0)
         sections = [
-            _long("split", parts, F.col("part"), ["matches", "share"]),
+            _long("split", parts, F.col("part"), ["matches", "share", "first_day", "last_day"]),
             _long("brier", self.briers, F.col("forecast"), ["brier"]),
             _long(
                 "paired",
-                self.pairs,
+                self.pairs.withColumn("verdict", side),
                 F.concat_ws(" vs ", "candidate", "baseline"),
-                ["mean_difference", "standard_error", "t_statistic", "ci_low", "ci_high", "n"],
+                ["mean_difference", "standard_error", "t_statistic", "ci_low", "ci_high", "n", "verdict"],
             ),
             _long("coefficient", self.coefficients, F.col("item"), ["influence"]),
             self.briers.sparkSession.createDataFrame(
@@ -107,7 +109,7 @@ def run_backtest(
     columns = ["match_id", start, "league", "result", "crowd_1", "crowd_x", "crowd_2"]
     rated = pinned(rated.select(*columns, "elo_expected_score"), "rated")
     inside = scope_to(rated, leagues)
-    train, test = split_at(inside, cutoff, start)
+    train, test = (with_part(inside, cutoff, start, part) for part in ("train", "test"))
 
     crowd_curves, rating_curves = together(
         spark, lambda: fit_crowd_curves(train), lambda: fit_rating_curves(train)
@@ -125,9 +127,9 @@ def run_backtest(
     )
     weight = best["weight"]
 
-    scored = blend(forecast(test), "calibrated", "elo", 0.5, "combined")
-    scored = blend(scored, "calibrated", "elo", weight, "fitted")
-    scored = apply_pool(apply_pool(scored, pool, "pooled"), poolx, "pooledx")
+    scored = mixed(forecast(test), {"calibrated": 0.5, "elo": 0.5}, "halves")
+    scored = mixed(scored, {"calibrated": weight, "elo": 1 - weight}, "best_mix")
+    scored = apply_pool(apply_pool(scored, pool, "pool"), poolx, "pool_by_odds")
     scored = pinned(with_even_forecast(scored), "scored")
 
     named = [

@@ -1,7 +1,8 @@
 """The batch runs: documents to matches, dimensions, facts, model columns and the mart.
 
-Every step reads tables, writes tables and may be run again. The match fact and the mart
-are published in versions, because keyed updates read what they replace.
+Every step reads tables, writes tables and may be run again. What is updated or replaced is
+published in versions, because updates read what they replace and so may earlier results;
+``expire`` drops the old ones.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from touchline.operators.calibration import calibrate, calibration_metrics, fit_
 from touchline.operators.rating import rate_matches
 from touchline.operators.relational import inline_relation, newest_rounds, scope_semi
 from touchline.plans import audit, dimensions, facts, mart
-from touchline.sources import documents, tables
-from touchline.sources.workspace import pinned
+from touchline.sources import documents, ingest, tables
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,18 @@ class Layers:
     def matches(self) -> str:
         return f"{self.silver}.matches"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.silver}.rejects"
+
+    @property
+    def account(self) -> str:
+        return f"{self.silver}.load_account"
+
+    @property
+    def forecasts(self) -> str:
+        return f"{self.gold}.match_forecast"
+
     @property
     def fact(self) -> str:
         return f"{self.gold}.fact_match"
@@ -48,11 +60,31 @@ def create_layers(spark: SparkSession, layers: Layers, folder: str | None = None
 
 
 def load_matches(
-    spark: SparkSession, layers: Layers, path: str, multi_line: bool = True
+    spark: SparkSession,
+    layers: Layers,
+    path: str,
+    multi_line: bool = True,
+    plan: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per match of all documents, every league, played or not."""
-    landed = documents.accepted(documents.read_documents(spark, path, multi_line))
-    return tables.overwrite(newest_rounds(documents.extract_events(landed)), layers.matches)
+    """One row per match of all documents, every league, played or not.
+
+    Documents that cannot be parsed or carry an error are kept in a table of their own with the
+    reason, and counted in the account of the load. With a ``plan`` (see ``ingest_plan``), the
+    load fails if a round that the plan asks for did not arrive in an accepted document; the
+    account and the rejects are written before.
+    """
+    landed = documents.read_documents(spark, path, multi_line)
+    accepted = documents.accepted(landed)
+    rejects = tables.publish(documents.rejected(landed), layers.rejects)
+    account = rejects.groupBy(F.col("reason").alias("status")).agg(F.count("*").alias("documents"))
+    if plan is None:
+        account = account.unionByName(accepted.agg(F.lit("accepted").alias("status"), F.count("*").alias("documents")))
+        tables.publish(account, layers.account)
+    else:
+        arrived = accepted.select(F.col("draw.drawNumber").alias("round_number"))
+        account = tables.publish(account.unionByName(ingest.ingest_audit(plan, arrived)), layers.account)
+        ingest.require_complete(account)
+    return tables.publish(newest_rounds(documents.extract_events(accepted)), layers.matches)
 
 
 def build_dimensions(spark: SparkSession, layers: Layers, as_of: Column | None = None) -> None:
@@ -76,37 +108,41 @@ def build_facts(spark: SparkSession, layers: Layers) -> DataFrame:
     return audit.fact_audit(fact)
 
 
-def add_calibration(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Fit on all played matches and fill the fact's calibrated columns. Returns the
-    in-sample metrics."""
+def add_forecasts(spark: SparkSession, layers: Layers) -> tuple[DataFrame, DataFrame]:
+    """Fit the curves on all played matches, rate every match, in scope or not, write both once per
+    load, and fill the fact's columns by one update. Returns the in-sample metrics of the
+    curves and the summary of the ratings.
+
+    Both are made anew from all matches: a corrected result changes all that follows it.
+    """
     matches = spark.table(layers.matches)
     calibrated = calibrate(matches, fit_crowd_curves(matches))
-    source = calibrated.withColumnRenamed("match_id", "match_key")
-    tables.update_table(layers.fact, source, "match_key", triple("calibrated"))
-    return calibration_metrics(calibrated)
-
-
-def add_ratings(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Rate every match, in scope or not, and fill the fact's rating columns. Returns the
-    summary."""
-    ratings = pinned(rate_matches(spark.table(layers.matches)), "ratings")
-    source = ratings.withColumnRenamed("match_id", "match_key")
-    tables.update_table(layers.fact, source, "match_key", ["elo_home", "elo_away"])
-    return audit.rating_summary(ratings)
+    names = [*triple("calibrated"), "elo_home", "elo_away"]
+    forecasts = calibrated.join(rate_matches(matches), "match_id").select(
+        F.col("match_id").alias("match_key"), "result", *triple("crowd"), *names
+    )
+    written = tables.publish(forecasts, layers.forecasts)
+    tables.update_table(layers.fact, written, "match_key", names)
+    return calibration_metrics(written), audit.rating_summary(written)
 
 
 def score_newest_round(
     spark: SparkSession, layers: Layers, scored_at: Column | None = None
 ) -> DataFrame:
-    """Score the newest round into the mart, replacing an earlier score of the same match.
-    Returns the round as written."""
+    """Score the newest round into the mart from the load's forecasts, replacing an earlier score
+    of the same match. Returns the round as written."""
     matches = spark.table(layers.matches)
-    scored = mart.round_mart(
-        calibrate(matches, fit_crowd_curves(matches)),
-        rate_matches(matches),
-        mart.newest_round(matches),
-        scored_at,
-    )
-    written = tables.upsert_table(layers.coupon, scored, "match_key")
+    known = spark.table(layers.forecasts).withColumnRenamed("match_key", "match_id")
     newest = mart.newest_round(matches)
+    chosen = matches.filter(F.col("round_number") == newest)
+    calibrated = chosen.join(known.select("match_id", *triple("calibrated")), "match_id", "left")
+    ratings = known.select("match_id", "elo_home", "elo_away")
+    scored = mart.round_mart(calibrated, ratings, newest, scored_at)
+    written = tables.upsert_table(layers.coupon, scored, "match_key")
     return mart.crowd_gap(written.filter(F.col("round_number") == newest))
+
+
+def expire(spark: SparkSession, layers: Layers, keep: int = 2) -> None:
+    """Drop older versions of all published tables, once nothing reads them any more."""
+    for name in (layers.matches, layers.rejects, layers.account, layers.fact, layers.forecasts, layers.coupon):
+        tables.expire_versions(spark, name, keep)

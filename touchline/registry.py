@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from touchline import binding, landing
 from touchline.functions import (
     LABELS,
+    OUTCOMES,
     brier,
     calendar_key,
     clip,
@@ -122,12 +123,22 @@ def ingest_audit(spark, sf_dir):
     return ingest.ingest_audit(ingest_plan(spark, sf_dir), _landed_rounds(matches, "Cup"))
 
 
+_databases: list[str] = []
+
+
 def _namespace(spark: SparkSession) -> str:
     name = f"touchline_{uuid.uuid4().hex[:12]}"
     tables.create_namespaces(spark, [name], shared_folder(spark))
+    _databases.append(name)
     return name
 
 
+def drop_databases(spark: SparkSession) -> None:
+    """Drop the databases that queries have made so far, once their results have been used."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+
+
 @query
 def overwrite_roundtrip(spark, sf_dir):
     teams = dimensions.team_dimension(binding.matches(spark, sf_dir))
@@ -201,7 +212,18 @@ def scan_json_documents(spark, sf_dir):
 def extract_events(spark, sf_dir):
     path = landing.land_lines(binding.matches(spark, sf_dir), new_folder(spark, "lines"))
     landed = documents.read_documents(spark, path, multi_line=False)
-    return documents.extract_events(landed.filter(F.col("_corrupt_record").isNull()))
+    return documents.extract_events(documents.accepted(landed))
+
+
+@query
+def load_rejects(spark, sf_dir):
+    """Documents set aside, by reason; the good ones beside them are counted too."""
+    matches = binding.matches(spark, sf_dir)
+    path = landing.land_faults(matches, landing.land_lines(matches, new_folder(spark, "faults")))
+    landed = documents.read_documents(spark, path, multi_line=False)
+    events = documents.extract_events(documents.accepted(landed))
+    rejects = documents.rejected(landed).groupBy("reason").agg(F.count("*").alias("rows"))
+    return rejects.unionByName(events.agg(F.lit("events of accepted").alias("reason"), F.count("*").alias("rows")))
 
 
 # --- projections, filters, scalar functions --------------------------------------------
@@ -227,12 +249,8 @@ def scope_semi(spark, sf_dir):
 @query
 def time_split(spark, sf_dir):
     matches = binding.matches(spark, sf_dir)
-    train, test = relational.split_at(matches, binding.CUTOFF, "match_date")
-    columns = ["match_id", "match_date", "result"]
-    return (
-        train.select(*columns, F.lit("train").alias("part"))
-        .unionByName(test.select(*columns, F.lit("test").alias("part")))
-    )
+    parts = relational.with_part(matches, binding.CUTOFF, "match_date")
+    return parts.select("match_id", "match_date", "result", "part")
 
 
 @query
@@ -565,7 +583,7 @@ def paired_verdict(spark, sf_dir):
 @query
 def blend(spark, sf_dir):
     names = triple("blended")
-    mixed = relational.blend(binding.matches(spark, sf_dir), "crowd", "favourite_odds", 0.3)
+    mixed = relational.mixed(binding.matches(spark, sf_dir), {"crowd": 0.3, "favourite_odds": 0.7}, "blended")
     return _rounded(mixed.select("match_id", *names), 6, names)
 
 
@@ -576,6 +594,17 @@ def fit_blend_weight(spark, sf_dir):
     return _rounded(best, 8, ["weight", "brier"])
 
 
+@query
+def unrated_events(spark, sf_dir):
+    """Matches of the newest round that no rating covers: those that were never rated."""
+    matches = binding.matches(spark, sf_dir)
+    ratings = _cheap_ratings(matches.filter(F.col("match_id") % 3 != 0))
+    latest = matches.filter(F.col("round_number") >= mart.newest_round(matches) - 40)
+    return mart.unrated(latest.withColumnRenamed("match_id", "match_key").join(
+        ratings.withColumnRenamed("match_id", "match_key"), "match_key", "left"
+    ))
+
+
 # --- logistic pooling ------------------------------------------------------------------
 
 POOLED = ("crowd", "favourite_odds")
@@ -619,6 +648,51 @@ def pool_coefficients(spark, sf_dir):
     return pooling.pool_coefficients(spark, pool)
 
 
+def _gradient(matches: DataFrame, pool) -> DataFrame:
+    """The mean slope of the penalised loss in every coefficient: 0 at the optimum."""
+    features = {"intercept": F.lit(1.0)} | pooling.pool_features(pool.sources, pool.interaction)
+    scored = pooling.apply_pool(matches, pool)
+    slopes = {
+        (label, name): F.avg((F.col(f"pooled_{s}") - (F.col("result") == label).cast("double")) * x)
+        for s, label in OUTCOMES.items()
+        for name, x in features.items()
+    }
+    held = {(r["class"], r["feature"]): r["coefficient"] for r in pooling.pool_table(matches.sparkSession, pool).collect()}
+    rows = [
+        F.struct(
+            F.lit(label).alias("class"),
+            F.lit(name).alias("feature"),
+            F.round(F.abs(slope + (0.0 if name == "intercept" else held[label, name] / pool.rows)), 4).alias("slope"),
+        )
+        for (label, name), slope in slopes.items()
+    ]
+    return scored.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+@query
+def pool_gradient(spark, sf_dir):
+    matches = _pool_input(spark, sf_dir)
+    return _gradient(matches, pooling.fit_pool(matches, JOINED))
+
+
+@query
+def pool_gradient_interaction(spark, sf_dir):
+    matches = _pool_input(spark, sf_dir)
+    return _gradient(matches, pooling.fit_pool(matches, JOINED, interaction=True))
+
+
+@query
+def pool_balance(spark, sf_dir):
+    """The summed probability of every class, which an intercept without penalty makes its count."""
+    matches = _pool_input(spark, sf_dir)
+    pooled = pooling.apply_pool(matches, pooling.fit_pool(matches, JOINED))
+    rows = [
+        F.struct(F.lit(label).alias("class"), F.round(F.sum(f"pooled_{s}"), 0).cast("bigint").alias("matches"))
+        for s, label in OUTCOMES.items()
+    ]
+    return pooled.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 @query
 def backtest_report(spark, sf_dir):
     matches = binding.matches(spark, sf_dir)

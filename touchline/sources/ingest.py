@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The first document of the archive, and how many of the newest are always
@@ -19,6 +19,16 @@ def newest_id(listing: DataFrame, id_column: str = "round_number") -> int:
     return int(newest)
 
 
+def landed_files(
+    spark: SparkSession, path: str, pattern: str = r"_(\d+)\.json$", id_column: str = "round_number"
+) -> DataFrame:
+    """The ids that stand in the names of the files under ``path``, with their sizes. The files are
+    listed, not read; other names have no id and drop out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    found = F.regexp_extract("path", pattern, 1).try_cast("bigint")
+    return files.withColumn(id_column, found).filter(F.col(id_column).isNotNull())
+
+
 def ingest_plan(
     listing: DataFrame,
     landed: DataFrame,

@@ -4,28 +4,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
+
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="touchline-")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back on a temporary folder: on a cluster the other
-    machines could not read it.
+    Only a local session may fall back on a temporary folder, one per application: on a
+    cluster the other machines could not read it. No setting of the session is changed.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def pinned(df: DataFrame, name: str) -> DataFrame:
@@ -34,3 +43,14 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has written so far.
+
+    Call it when the results that were built on them have been used or stored.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(hadoop).delete(path, True)
