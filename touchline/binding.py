@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SCOPE = {"Division A": "Homeland", "Division B": "Homeland", "Division C": "Homeland"}
 CUTOFF = "1999-12-19"
+ORIGINS = ["1997-07-01", "1998-07-01", "1999-07-01"]
 AS_OF = "2001-08-01"
 
 COMMON = """

@@ -3,6 +3,7 @@
 from touchline.functions.keys import (
     calendar_key,
     name_key,
+    plain_name,
     season_end,
     season_key,
     season_start,
@@ -41,6 +42,7 @@ __all__ = [
     "occurred",
     "outcome_signal",
     "percent",
+    "plain_name",
     "points",
     "result_label",
     "score_gap",

@@ -13,6 +13,11 @@ def name_key(name: Column) -> Column:
     return F.upper(name)
 
 
+def plain_name(name: Column) -> Column:
+    """A name without regard to case, commas and the width of its gaps, for comparisons only."""
+    return F.trim(F.regexp_replace(F.lower(F.translate(name, ",", " ")), r"\s+", " "))
+
+
 def calendar_key(start: Column) -> Column:
     """The day as an int ``yyyyMMdd``. Date parts keep it free of text formatting."""
     day = F.to_date(start)

@@ -9,24 +9,29 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.functions import LABELS, OUTCOMES, outcome_signal, triple
+from touchline.functions import LABELS, OUTCOMES, outcome_signal, plain_name, triple
 
 
 def played(matches: DataFrame) -> DataFrame:
     return matches.filter(F.col("result").isNotNull())
 
 
-def scope_to(matches: DataFrame, leagues: Iterable[str]) -> DataFrame:
+def scope_to(matches: DataFrame, leagues: Iterable[str], loosely: bool = False) -> DataFrame:
     """Keep the named leagues: an exact match of the text, so NULL and other cases drop out.
+    ``loosely`` compares plain names instead, which finds spelling variants of a league.
 
     Apply it after rating, so that matches out of scope still inform the ratings.
     """
-    return matches.filter(F.col("league").isin(list(leagues)))
+    if not loosely:
+        return matches.filter(F.col("league").isin(list(leagues)))
+    wanted = [plain_name(F.lit(league)) for league in leagues]
+    return matches.filter(plain_name(F.col("league")).isin(wanted))
 
 
-def scope_semi(matches: DataFrame, leagues: DataFrame) -> DataFrame:
+def scope_semi(matches: DataFrame, leagues: DataFrame, loosely: bool = False) -> DataFrame:
     """Keep matches whose league is listed in ``leagues(league_name)``."""
-    return matches.join(leagues, F.col("league") == F.col("league_name"), "left_semi")
+    form = plain_name if loosely else (lambda name: name)
+    return matches.join(leagues, form(F.col("league")) == form(F.col("league_name")), "left_semi")
 
 
 def with_part(matches: DataFrame, cutoff: str, start: str = "match_start", only: str | None = None) -> DataFrame:

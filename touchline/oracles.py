@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.binding import AS_OF, CUTOFF, on_matches
+from touchline.binding import AS_OF, CUTOFF, ORIGINS, on_matches
 
 LOOKUP = """
 lookup(league_name, country) AS (
@@ -266,6 +266,26 @@ plan AS (
   FROM (SELECT unnest(generate_series(0, (SELECT max(round_number) FROM matches))) AS i))
 """
 
+def _rolling() -> str:
+    """The curve of each origin from the matches before it, judged on those until the next."""
+    judged = []
+    for origin, end in zip(ORIGINS, [*ORIGINS[1:], "9999-12-31"], strict=True):
+        curve = CURVE.strip().replace("WHERE result IS NOT NULL", f"WHERE result IS NOT NULL AND match_date < DATE '{origin}'")
+        body = (
+            f", {curve} SELECT '{origin}' AS origin, {_brier('crowd')} AS crowd, {_brier('calibrated')} AS calibrated "
+            f"FROM calibrated WHERE result IS NOT NULL AND match_date >= DATE '{origin}' AND match_date < DATE '{end}'"
+        )
+        judged.append(f"SELECT * FROM ({on_matches(body)})")
+    numbers = (
+        "count(*) AS matches, round(avg(crowd), 6) AS brier_crowd, round(avg(calibrated), 6) AS brier_calibrated, "
+        "round(avg(crowd - calibrated), 6) AS gain FROM judged"
+    )
+    return (
+        f"WITH judged AS ({' UNION ALL '.join(judged)}) "
+        f"SELECT origin, {numbers} GROUP BY origin UNION ALL SELECT 'all', {numbers}"
+    )
+
+
 def _flat(interaction: bool) -> str:
     """No slope is left in any coefficient of a fitted pool."""
     names = ["intercept", *(f"logit_{source}_{s}" for source in ("crowd", "elo") for s in "1x2")]
@@ -320,6 +340,7 @@ FROM matches"""),
         "SELECT round_number, event_number, match_id AS match_key FROM matches "
         "WHERE round_number >= (SELECT max(round_number) FROM matches) - 40 AND match_id % 3 = 0"
     ),
+    "rolling_origin": _rolling(),
     "pool_gradient": _flat(interaction=False),
     "pool_gradient_interaction": _flat(interaction=True),
     "pool_balance": on_matches(
@@ -332,6 +353,10 @@ FROM matches"""),
     "filter_played": on_matches("SELECT match_id, result FROM matches WHERE result IS NOT NULL"),
     "scope_filter": on_matches(f"SELECT match_id, league FROM matches WHERE {SCOPED}"),
     "scope_semi": on_matches(f"SELECT match_id, league FROM matches WHERE {SCOPED}"),
+    "scope_loosely": on_matches(
+        "SELECT match_id, CASE match_id % 3 WHEN 0 THEN upper(league) WHEN 1 THEN replace(league, ' ', ',  ') ELSE league END AS league "
+        f"FROM matches WHERE {SCOPED}"
+    ),
     "time_split": on_matches(
         f"SELECT match_id, match_date, result, CASE WHEN match_date < DATE '{CUTOFF}' THEN 'train' "
         "ELSE 'test' END AS part FROM matches WHERE result IS NOT NULL"

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions import expected_score
+from touchline.functions import brier, expected_score, triple
 from touchline.operators.calibration import (
     calibrate,
     fit_crowd_curves,
@@ -147,3 +148,33 @@ def run_backtest(
         weight=weight,
         coefficients=named[0].unionByName(named[1]),
     )
+
+
+def rolling_origins(matches: DataFrame, origins: list[str], start: str = "match_start") -> DataFrame:
+    """How stable the gain of calibration is: curves are fitted anew before each of ``origins`` and
+    judged until the next, the last one until the end.
+
+    One row per origin, ``(origin, matches, brier_crowd, brier_calibrated, gain)``, and one for all
+    judged matches together, whose origin is ``all``. The fits run side by side.
+    """
+    spark = matches.sparkSession
+    day = F.to_date(start)
+    ends = [*(F.to_date(F.lit(o)) for o in origins[1:]), None]
+
+    def judged(origin: str, end) -> DataFrame:
+        known = with_part(matches, origin, start)
+        curves = fit_crowd_curves(known.filter("part = 'train'"))
+        later = with_part(matches, origin, start, "test")
+        later = later if end is None else later.filter(day < end)
+        scored = calibrate(later, curves).dropna(subset=[*triple("crowd"), *triple("calibrated")])
+        return scored.select(F.lit(origin).alias("origin"), brier("crowd").alias("crowd"), brier("calibrated").alias("calibrated"))
+
+    parts = together(spark, *(lambda o=o, e=e: judged(o, e) for o, e in zip(origins, ends, strict=True)))
+    rows = reduce(DataFrame.unionAll, parts)
+    listed = rows.withColumn("origin", F.explode(F.array("origin", F.lit("all"))))
+    return listed.groupBy("origin").agg(
+        F.count("*").alias("matches"),
+        F.avg("crowd").alias("brier_crowd"),
+        F.avg("calibrated").alias("brier_calibrated"),
+        F.avg(F.col("crowd") - F.col("calibrated")).alias("gain"),
+    )

@@ -246,6 +246,16 @@ def scope_semi(spark, sf_dir):
     return relational.scope_semi(matches, _leagues(spark))
 
 
+@query
+def scope_loosely(spark, sf_dir):
+    """The same scope over league names that are spelled in several ways."""
+    spelled = F.when(F.col("match_id") % 3 == 0, F.upper("league")).when(
+        F.col("match_id") % 3 == 1, F.replace("league", F.lit(" "), F.lit(",  "))
+    )
+    matches = binding.matches(spark, sf_dir).select("match_id", F.coalesce(spelled, "league").alias("league"))
+    return relational.scope_semi(matches, _leagues(spark), loosely=True)
+
+
 @query
 def time_split(spark, sf_dir):
     matches = binding.matches(spark, sf_dir)
@@ -697,3 +707,9 @@ def pool_balance(spark, sf_dir):
 def backtest_report(spark, sf_dir):
     matches = binding.matches(spark, sf_dir)
     return backtest.run_backtest(matches, LEAGUES, binding.CUTOFF, "match_date").report()
+
+
+@query
+def rolling_origin(spark, sf_dir):
+    judged = backtest.rolling_origins(binding.matches(spark, sf_dir), binding.ORIGINS, "match_date")
+    return _rounded(judged, 6, ["brier_crowd", "brier_calibrated", "gain"])
