@@ -84,8 +84,8 @@ def signatures(versions: DataFrame, words: DataFrame, subsets: int, points: int,
 
 
 def following(keyed: DataFrame) -> DataFrame:
-    """``id0, row_key, next_id0, next_row_key``: the next document in the order of ids; the first one
-    follows the last. Only keys are sorted; what stands at a partition's end is told the
+    """``doc_id, id0, row_key, next_id0, next_row_key``: the next document in the order of ids; the first
+    one follows the last. Only keys are sorted; what stands at a partition's end is told the
     first key of the next partition."""
     ranged = (
         keyed.select("doc_id", *KEY)
@@ -107,7 +107,7 @@ def following(keyed: DataFrame) -> DataFrame:
         .select("part", F.coalesce("beyond", "start").alias("beyond"))
     )
     chained = after.join(firsts, "part").withColumn("next", F.coalesce("next", "beyond"))
-    return chained.select(*KEY, F.col("next.id0").alias("next_id0"), F.col("next.row_key").alias("next_row_key"))
+    return chained.select("doc_id", *KEY, F.col("next.id0").alias("next_id0"), F.col("next.row_key").alias("next_row_key"))
 
 
 def likeness(a: Column, b: Column, points: int = 2) -> Column:
@@ -132,35 +132,34 @@ def fingerprints_of_edits(
     """Fingerprints of every document and of an edited text, in which the last ``1/share`` of its
     code points are replaced by as many from the start of the next document.
 
-    The texts are shuffled once, by key; the starts travel to the documents before them.
+    The texts are shuffled once, by key, and read from that shuffle by both joins, which therefore
+    take the same columns; the starts travel to the documents before them.
     """
     words = pinned(lexicon(docs, low, high), "lexicon")
     keyed = with_keys(docs)
-    order = following(keyed)
     n = F.char_length("text")
     cut = F.floor(n / share).cast("int")
-    wanted = keyed.select(*KEY, cut.alias("cut")).distinct().join(order, KEY)
-    wanted = pinned(wanted, "wanted")
-    starts = (
-        keyed.withColumnsRenamed({"id0": "next_id0", "row_key": "next_row_key"})
-        .join(wanted, ["next_id0", "next_row_key"])
-        .select(*KEY, "next_id0", "next_row_key", F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("start"))
+    wanted = pinned(keyed.select(*KEY, cut.alias("cut")).distinct().join(following(keyed), KEY), "wanted")
+
+    texts = keyed.select(*KEY, "text")
+    asked = wanted.select(
+        F.col("next_id0").alias("id0"), F.col("next_row_key").alias("row_key"), F.col("id0").alias("for_id0"), F.col("row_key").alias("for_key"), "cut"
+    )
+    starts = texts.join(asked, KEY).select(
+        F.col("for_id0").alias("id0"), F.col("for_key").alias("row_key"), F.substring(F.col("text"), F.lit(1), F.col("cut")).alias("start")
     )
-    both = keyed.join(starts, KEY)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.col("start"))
-    described = both.select(
-        *KEY, "doc_id", "next_id0", "next_row_key", n.cast("long").alias("n_chars"), "text", edited.alias("edited")
-    ).withColumn("edited_sha256", F.sha2("edited", 256))
-    versions = described.select(
-        *KEY, "doc_id", "next_id0", "next_row_key", "n_chars", "edited_sha256",
+    described = texts.join(starts, KEY).select(*KEY, n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
+    versions = described.withColumn("edited_sha256", F.sha2("edited", 256)).select(
+        *KEY, "n_chars", "edited_sha256",
         F.inline(F.array(
             F.struct(F.lit(False).alias("is_edited"), F.col("text")), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text"))
         )),
     )
     signed = pinned(signatures(versions, words, subsets, points), "signatures")
-    own = signed.filter(~F.col("is_edited")).drop("is_edited")
+    own = signed.filter(~F.col("is_edited")).drop("is_edited").join(wanted.drop("cut"), KEY)
     changed = signed.filter("is_edited").select(*KEY, F.col("hashes").alias("edited_hashes"))
-    beyond = own.select(
+    beyond = signed.filter(~F.col("is_edited")).select(
         F.col("id0").alias("next_id0"), F.col("row_key").alias("next_row_key"), F.col("hashes").alias("next_hashes")
     )
     return (
