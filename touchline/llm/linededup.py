@@ -103,6 +103,8 @@ def repeated_chunks(docs: DataFrame, window: int = 2, modulus: int = 4) -> DataF
         .filter(F.col("first") != F.col("last"))
         .select("key", "length", "first")
     )
+    # Written, so that both sides of the join are plain shuffles, which Spark splits where a key is hot.
+    firsts = pinned(firsts, "firsts")
     marked = every.join(firsts, ["key", "length"]).select(
         "doc_id", "row_key", F.struct("start", "n", "key", (place == F.col("first")).alias("is_first")).alias("chunk")
     )
@@ -129,7 +131,7 @@ def repeated_chunks(docs: DataFrame, window: int = 2, modulus: int = 4) -> DataF
         ),
     )
     with_text = pinned(with_text, "repeated")
-    kept = with_text.filter("is_first").select("key", F.col("bytes").alias("first_bytes")).distinct()
+    kept = pinned(with_text.filter("is_first").select("key", F.col("bytes").alias("first_bytes")).distinct(), "first_bytes")
     others = with_text.filter(~F.col("is_first"))
     return others.join(kept, "key").filter(F.col("bytes") == F.col("first_bytes")).select("doc_id", "row_key", "start", "n")
 
