@@ -16,7 +16,7 @@ an id are packed one by one. Other columns are not carried.
 
 from __future__ import annotations
 
-import unicodedata
+import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Letters up to here are lower-cased one by one and alike everywhere, but for one.
 LATIN, DOTTED_I = "ɏ", "İ"
+BEYOND_LATIN = re.compile("[^\x00-\u024f]|\u0130")
 #: White space for str.split() that is none for the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -66,7 +67,7 @@ class WordTokenizer:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, pieces: list[str], together: int = 512) -> list[bytes]:
+    def _encode_pieces(self, pieces: list[str], together: int = 4096) -> list[bytes]:
         """The ids of pieces that are one word each: many make a text, whose ids are told apart
         by the mark on the last id of a word."""
         found = []
@@ -79,37 +80,47 @@ class WordTokenizer:
                 found += self._encode(part)
         return found
 
-    def _learn(self, new: list[str]) -> None:
-        split, odd = {}, []
+    def _learn(self, new: set[str]) -> None:
+        split, odd = [], []
         for word in new:
-            if word.isascii() or (max(word) <= LATIN and DOTTED_I not in word and unicodedata.is_normalized("NFC", word)):
-                lower = word.lower()
-                split[word] = [lower] if lower.isalpha() else PIECE.findall(lower)
-            else:
+            # Composition leaves letters of this range as they are.
+            if not word.isascii() and (max(word) > LATIN or DOTTED_I in word):
                 odd.append(word)
-        unknown = list({p for found in split.values() for p in found if p not in self.pieces})
+                continue
+            core = word.rstrip(".,")
+            if not core.isalpha():
+                split.append((word, PIECE.findall(word.lower())))
+            elif len(core) == len(word):
+                split.append((word, (core.lower(),)))
+            else:
+                split.append((word, (core.lower(), word[len(core) :])))
+        unknown = list({p for _, found in split for p in found}.difference(self.pieces))
         self.pieces.update(zip(unknown, self._encode_pieces(unknown)))
-        for word, found in split.items():
-            self.words[word] = self.pieces[found[0]] if len(found) == 1 else b"".join([self.pieces[p] for p in found])
+        pieces = self.pieces
+        for word, found in split:
+            self.words[word] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[p] for p in found])
         self.words.update(zip(odd, self._encode(odd)))
 
+    def _words(self, text: str) -> list[str] | None:
+        """Lower-cased where that is the same letter by letter; None for texts to encode whole."""
+        if any(c in text for c in SEPARATORS):
+            return None
+        return (text if BEYOND_LATIN.search(text) else text.lower()).split()
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, and the end mark."""
         if len(self.words) > self.remembered or len(self.pieces) > self.remembered:
             self.words.clear()
             self.pieces.clear()
         mark = np.array([self.end], "<u4").tobytes()
-        found = []
-        for text in texts:
-            if any(c in text for c in SEPARATORS):
-                found.append(self._encode([text])[0] + mark)
-                continue
-            words = text.split()
-            new = [w for w in set(words) if w not in self.words]
-            if new:
-                self._learn(new)
-            found.append(b"".join(map(self.words.__getitem__, words)) + mark)
-        return found
+        plain = [self._words(text) for text in texts]
+        if new := set().union(*filter(None, plain)).difference(self.words):
+            self._learn(new)
+        look_up = self.words.__getitem__
+        return [
+            (self._encode([text])[0] if words is None else b"".join(map(look_up, words))) + mark
+            for text, words in zip(texts, plain)
+        ]
 
 
 @lru_cache(maxsize=1)
