@@ -76,3 +76,23 @@ def test_every_id_lies_in_one_piece(spark, tokenizer, room, block):
 def test_null_ids_and_empty_tables(spark):
     assert {r["doc_id"] for r in pack(documents(spark, [(None, "a"), (None, None)]), PATH).collect()} == {None}
     assert pack(documents(spark, []), PATH).count() == 0
+
+
+ADDED = [
+    "hi <|endoftext|> there", "x<|startoftext|><|endoftext|>. Y", "<|ENDOFTEXT|> <|endoftext|", "a\x1cb <|endoftext|>", "日本 <|endoftext|>Ω",
+    "hi there <|EndOfText|>",
+]
+
+
+def test_added_tokens_are_those_of_the_file(spark):
+    as_named = Tokenizer.from_file(PATH)
+    want = [as_named.encode(t, add_special_tokens=False).ids + [1] for t in ADDED]
+    assert want[0] == [1883, 49407, 997, 1]
+    words = WordTokenizer(PATH, added=True)
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in words.batch(ADDED)] == want
+    pieces = pack(documents(spark, list(enumerate(ADDED))), PATH).orderBy("doc_id", "start").collect()
+    for i, ids in enumerate(want):
+        own = [r for r in pieces if r["doc_id"] == i]
+        assert b"".join(r["ids"] for r in own) == np.array(ids, "<u4").tobytes()
+        assert {r["doc_tokens"] for r in own} == {len(ids)}

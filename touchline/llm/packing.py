@@ -11,7 +11,9 @@ and in blocks of about ``block`` tokens, whose last sequence goes on in the next
 is shuffled. Only the last sequence of a partition cannot be filled from what follows.
 
 Defined results: a NULL or empty text has the end mark alone; NULL ids are kept; rows that repeat
-an id are packed one by one. Other columns are not carried.
+an id are packed one by one. An added token of the vocabulary that stands in a text, such as
+``<|endoftext|>``, becomes its one id, as in the tokenizer's own call without special tokens added.
+Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -44,12 +46,14 @@ class WordTokenizer:
     """The tokenizer's ids of a text as little-endian 32-bit numbers.
 
     The vocabulary never joins across white space, so words are looked up in a memory of those
-    seen before. What is new goes to the tokenizer in batches.
+    seen before. What is new goes to the tokenizer in batches. With ``added``, texts that contain
+    an added token go to the tokenizer whole; otherwise such a token is spelled out like any word.
     """
 
     path: str
     end: int = 1
     remembered: int = 500_000
+    added: bool = False
     words: dict[str, bytes] = field(default_factory=dict)
     pieces: dict[str, bytes] = field(default_factory=dict)
 
@@ -57,7 +61,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(self.path)
+        # The memory's words and pieces are parts of texts, lower-cased, and hold no added token.
         self.tokenizer.encode_special_tokens = True
+        self.plain = Tokenizer.from_file(self.path)
+        self.marks = [t.content for t in self.plain.get_added_tokens_decoder().values()] if self.added else []
         vocabulary = self.tokenizer.get_vocab()
         self.stops = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.stops[[i for token, i in vocabulary.items() if token[0] in ".!?"]] = True
@@ -67,6 +74,10 @@ class WordTokenizer:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_whole(self, text: str) -> bytes:
+        tokenizer = self.plain if self.added else self.tokenizer
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _encode_pieces(self, pieces: list[str], together: int = 4096) -> list[bytes]:
         """The ids of pieces that are one word each: many make a text, whose ids are told apart
         by the mark on the last id of a word."""
@@ -103,7 +114,7 @@ class WordTokenizer:
 
     def _words(self, text: str) -> list[str] | None:
         """Lower-cased where that is the same letter by letter; None for texts to encode whole."""
-        if any(c in text for c in SEPARATORS):
+        if any(c in text for c in SEPARATORS) or any(mark in text for mark in self.marks):
             return None
         return (text if BEYOND_LATIN.search(text) else text.lower()).split()
 
@@ -118,7 +129,7 @@ class WordTokenizer:
             self._learn(new)
         look_up = self.words.__getitem__
         return [
-            (self._encode([text])[0] if words is None else b"".join(map(look_up, words))) + mark
+            (self._encode_whole(text) if words is None else b"".join(map(look_up, words))) + mark
             for text, words in zip(texts, plain)
         ]
 
@@ -126,7 +137,7 @@ class WordTokenizer:
 @lru_cache(maxsize=1)
 def word_tokenizer(path: str, end: int) -> WordTokenizer:
     """One memory per Python worker, which later tasks find filled."""
-    return WordTokenizer(path, end)
+    return WordTokenizer(path, end, added=True)
 
 
 def choose_cuts(places: np.ndarray, penalties: np.ndarray, room: int, opening: float = 0.0) -> list[int]:
