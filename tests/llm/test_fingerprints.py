@@ -3,7 +3,7 @@ import hashlib
 from messy import documents, prose, texts
 from pyspark.sql import functions as F
 
-from touchline.llm.imatch import fingerprints, fingerprints_of_edits, lexicon, likeness, shown, with_keys
+from touchline.llm.imatch import fingerprints, fingerprints_of_edits, in_subset, lexicon, likeness, shown, with_keys
 
 
 def test_edits_equal_brute_force(spark):
@@ -52,3 +52,27 @@ def test_lexicon_keeps_the_band(spark):
 
 def test_empty_table(spark):
     assert fingerprints_of_edits(documents(spark, [])).count() == 0
+
+
+def test_hashes_depend_on_all_terms_of_fixed_subsets(spark):
+    """Two hashes are equal if and only if the documents have the same terms in that subset."""
+    vocabulary = [f"t{i}" for i in range(300)]
+    rows = [(i, " ".join(w for j, w in enumerate(vocabulary) if j not in (i, i + 1))) for i in range(200)]
+    rows += [(300, "t1 t2"), (301, "t2, t1"), (302, "nothing"), (303, "nothing"), (304, "else")]
+    docs = documents(spark, rows)
+    drawn = spark.createDataFrame([(w,) for w in vocabulary], "w string").withColumn("term", F.xxhash64("w"))
+    subsets = [
+        {r["w"] for r in drawn.filter(in_subset(F.col("term"), s, 0.125)).collect()} for s in range(4)
+    ]
+    assert all(15 < len(x) < 65 for x in subsets) and len(set(map(frozenset, subsets))) == 4
+    got = {r["doc_id"]: r["hashes"] for r in fingerprints(docs, low=0.0, high=3.0, subsets=4, rate=0.125).collect()}
+
+    def subset_terms(text, s):
+        found = set(text.replace(",", "").split()) & set(vocabulary)
+        return frozenset(found & subsets[s]) or ("all", frozenset(found)) if found else text
+
+    for s in range(4):
+        want = {d: subset_terms(t, s) for d, t in rows}
+        for a, _ in rows:
+            for b, _ in rows:
+                assert (got[a][s] == got[b][s]) == (want[a] == want[b]), (s, a, b)

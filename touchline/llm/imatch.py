@@ -5,12 +5,14 @@ Its upper end bounds the lexicon whatever the corpus: terms that stand in a shar
 ``exp(-high)`` of the documents number at most ``exp(high)`` times a document's mean count of
 distinct terms. The lexicon is therefore broadcast, after its size has been measured.
 
-A single hash over all lexicon terms changes with any of them. Each of several random subsets of
-the lexicon is therefore thinned until little of the document is left: a subset is made of
-the terms around ``points`` random places of the hash space, drawn in to the document's nearest
-term at each. Those distinct terms are sorted and hashed. Likeness follows from the share of equal hashes.
-
-Defined results: a NULL text counts as empty; a document without lexicon terms is hashed by its
+A single hash over all lexicon terms changes with any of them. Several random subsets are therefore
+drawn from the lexicon, each term by a seeded hash at a fixed ``rate`` and alike for all documents.
+All of a document's distinct terms in a subset make one hash. Their 64-bit hashes are combined by
+exclusive or, which does not depend on the order, as sorting would ensure, and needs no lists in
+memory. A hash is equal if no term of the subset was added or lost; likeness is the share of equal hashes.
+
+Defined results: a NULL text counts as empty; where a subset has none of a document's terms, the
+hash is that of all its lexicon terms; a document without lexicon terms is hashed by its
 whole text, so only equal ones are alike; terms are lower-cased; NULL ids come first in the
 order; rows equal in id and text count as one document. Other columns are not carried.
 """
@@ -18,7 +20,6 @@ order; rows equal in id and text count as one document. Other columns are not ca
 from __future__ import annotations
 
 import math
-import random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,32 +56,32 @@ def with_keys(docs: DataFrame) -> DataFrame:
     )
 
 
-def signatures(versions: DataFrame, words: DataFrame, subsets: int, points: int, seed: int = 11) -> DataFrame:
+def in_subset(term: Column, subset: int, rate: float, seed: int = 11) -> Column:
+    """Whether a random subset of the lexicon has the term, whatever the document."""
+    drawn = F.xxhash64(term, F.lit(seed), F.lit(subset)).bitwiseAND(F.lit((1 << 20) - 1))
+    return drawn < F.lit(round(rate * (1 << 20)))
+
+
+def signatures(versions: DataFrame, words: DataFrame, subsets: int, rate: float) -> DataFrame:
     """``versions`` has a text in ``text``, other columns identify it. They come back, once
     each, with ``hashes``. Each text's terms meet in the task that holds the text."""
     names = [c for c in versions.columns if c != "text"]
-    drawn = random.Random(seed)
-    places = [[drawn.getrandbits(64) - (1 << 63) for _ in range(points)] for _ in range(subsets)]
     listed = versions.select(*names, F.xxhash64("text").alias("text_key"), terms(F.col("text")).alias("words"))
     exploded = listed.select(*names, "text_key", F.explode_outer("words").alias("word")).withColumn("term", F.xxhash64("word"))
     size = words.count() * 16
     known = words.select(F.col("term").alias("known"))
     matched = exploded.join(F.broadcast(known) if size <= BROADCAST_BYTES else known, F.col("term") == F.col("known"), "left")
-    # The exclusive or of a term and a place is their distance, and gives the term back.
-    nearest = matched.groupBy(*names, "text_key").agg(
-        *[
-            F.min(F.col("known").bitwiseXOR(F.lit(place))).alias(f"n{s}_{p}")
-            for s, around in enumerate(places)
-            for p, place in enumerate(around)
-        ]
+    sets = matched.groupBy(*names, "text_key").agg(
+        F.bit_xor("known").alias("all"),
+        *[F.bit_xor(F.when(in_subset(F.col("known"), s, rate), F.col("known"))).alias(f"set{s}") for s in range(subsets)],
     )
 
     def subset_hash(s: int) -> Column:
-        kept = F.array(*[F.col(f"n{s}_{p}").bitwiseXOR(F.lit(place)) for p, place in enumerate(places[s])])
-        none = F.col(f"n{s}_0").isNull()
-        return F.when(none, F.hash("text_key", F.lit(s))).otherwise(F.hash(F.sort_array(F.array_distinct(kept))))
+        own = F.col(f"set{s}")
+        whole = F.when(F.col("all").isNull(), F.hash("text_key", F.lit(s))).otherwise(F.hash("all", F.lit(s), F.lit("all")))
+        return F.when(own.isNull(), whole).otherwise(F.hash(own, F.lit(s)))
 
-    return nearest.select(*names, F.array(*[subset_hash(s) for s in range(subsets)]).alias("hashes"))
+    return sets.select(*names, F.array(*[subset_hash(s) for s in range(subsets)]).alias("hashes"))
 
 
 def following(keyed: DataFrame) -> DataFrame:
@@ -110,24 +111,24 @@ def following(keyed: DataFrame) -> DataFrame:
     return chained.select("doc_id", *KEY, F.col("next.id0").alias("next_id0"), F.col("next.row_key").alias("next_row_key"))
 
 
-def likeness(a: Column, b: Column, points: int = 2) -> Column:
-    """Estimated share of common terms, from 0 to 1: a hash is equal if all ``points`` terms are."""
+def likeness(a: Column, b: Column) -> Column:
+    """Share of equal hashes, from 0 to 1."""
     same = F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda equal: equal)
-    return F.pow(F.size(same) / F.size(a), F.lit(1 / points))
+    return F.size(same) / F.size(a)
 
 
 def shown(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
 
 
-def fingerprints(docs: DataFrame, low: float = 1.0, high: float = 7.0, subsets: int = 16, points: int = 2) -> DataFrame:
+def fingerprints(docs: DataFrame, low: float = 1.0, high: float = 7.0, subsets: int = 16, rate: float = 1 / 128) -> DataFrame:
     """``doc_id, row_key, hashes`` of every document."""
     words = pinned(lexicon(docs, low, high), "lexicon")
-    return signatures(with_keys(docs), words, subsets, points).select("doc_id", "row_key", "hashes")
+    return signatures(with_keys(docs), words, subsets, rate).select("doc_id", "row_key", "hashes")
 
 
 def fingerprints_of_edits(
-    docs: DataFrame, share: int = 4, low: float = 1.0, high: float = 7.0, subsets: int = 16, points: int = 2
+    docs: DataFrame, share: int = 4, low: float = 1.0, high: float = 7.0, subsets: int = 16, rate: float = 1 / 128
 ) -> DataFrame:
     """Fingerprints of every document and of an edited text, in which the last ``1/share`` of its
     code points are replaced by as many from the start of the next document.
@@ -156,7 +157,7 @@ def fingerprints_of_edits(
             F.struct(F.lit(False).alias("is_edited"), F.col("text")), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text"))
         )),
     )
-    signed = pinned(signatures(versions, words, subsets, points), "signatures")
+    signed = pinned(signatures(versions, words, subsets, rate), "signatures")
     own = signed.filter(~F.col("is_edited")).drop("is_edited").join(wanted.drop("cut"), KEY)
     changed = signed.filter("is_edited").select(*KEY, F.col("hashes").alias("edited_hashes"))
     beyond = signed.filter(~F.col("is_edited")).select(
