@@ -106,3 +106,16 @@ def test_priors_and_markup_decide_where_text_is_silent(spark):
     assert langid.identify(pages.limit(0), samples).count() == 0
     with pytest.raises(ValueError):
         langid.identify(pages, samples.limit(0))
+
+
+def test_rare_languages_are_kept(spark):
+    """However many there are, and however few of them a task holds at a time."""
+    names = [f"l{i:03d}" for i in range(205)]
+    rows = [(2 * i + k, f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvw'[i // 100]} " * 9, n) for i, n in enumerate(names) for k in (0, 1)]
+    rows += [(1000 + i, "zzzyx " * 9, "xx") for i in range(1)]
+    samples = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_trigrams(samples)
+    assert model.languages == sorted([*names, "xx"])
+    assert model.languages[int(np.argmax(model.log_likelihood("zzzyx zzzyx")))] == "xx"
+    few = langid.fit_trigrams(samples.coalesce(1), held=3)
+    assert np.array_equal(few.log_share, model.log_share)

@@ -7,7 +7,8 @@ texts suggest. The prior is that of the page's host, smoothed towards its domain
 smoothed towards its suffix and that towards all pages; a page's own text does not count
 towards its prior. All counts are grouped aggregates, joined back by key.
 
-The fit uses at most about ``fit_rows`` documents per language, chosen by a hash of the id.
+The fit covers every language that has a document, and uses at most about ``fit_rows`` documents of
+each, chosen by a hash of the id.
 
 Defined results: NULL or empty markup has no text and declares nothing; an address that cannot
 be parsed, or NULL, has the host, domain and suffix ``''``; declared languages beyond those known
@@ -67,30 +68,40 @@ class TrigramModel:
         return self.log_share[:, seen] @ counts / OVERLAP
 
 
-def fit_trigrams(documents: DataFrame, fit_rows: int = 2000, languages: int = 200) -> TrigramModel:
-    """Counts of the documents' trigrams per ``lang``, for the most frequent ``languages``."""
+def fit_trigrams(documents: DataFrame, fit_rows: int = 2000, held: int = 200) -> TrigramModel:
+    """Counts of the documents' trigrams for every ``lang``. A task holds those of at most ``held``
+    languages at a time."""
     known = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    sizes = {r["lang"]: r["n"] for r in top.collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         raise ValueError("no documents of a known language to learn from")
-    rate = F.lit(0.0)
-    for lang, n in sizes.items():
-        rate = F.when(F.col("lang") == lang, F.lit(min(1.0, fit_rows / n))).otherwise(rate)
+    rates = F.map_from_arrays(F.lit(list(sizes)), F.lit([min(1.0, fit_rows / n) for n in sizes.values()]))
+    rate = F.element_at(rates, F.col("lang"))
     sample = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) < rate * (1 << 20))
     names = sorted(sizes)
     number = {lang: i for i, lang in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), BUCKETS), dtype=np.int64)
+        total: dict[int, np.ndarray] = {}
+
+        def table() -> pa.RecordBatch:
+            cells = {i: np.flatnonzero(n) for i, n in total.items()}
+            rows = [np.full(len(c), i, np.int32) for i, c in cells.items()]
+            columns = [rows, [c.astype(np.int32) for c in cells.values()], [total[i][c] for i, c in cells.items()]]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["lang", "bucket", "n"])
+
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                i = number[lang]
+                if i not in total:
+                    if len(total) >= held:
+                        yield table()
+                        total.clear()
+                    total[i] = np.zeros(BUCKETS, dtype=np.int64)
                 seen, counts = trigram_counts(text.as_py())
-                total[number[lang], seen] += counts
-        rows, cells = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows.astype(np.int32)), pa.array(cells.astype(np.int32)), pa.array(total[rows, cells])], ["lang", "bucket", "n"]
-        )
+                total[i][seen] += counts
+        if total:
+            yield table()
 
     summed = sample.select("lang", "text").mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n"))
     counts = np.full((len(names), BUCKETS), 0.5)
