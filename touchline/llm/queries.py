@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import quality, toxicity
+from touchline.llm.bpe import decode, encode
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
 from touchline.llm.imatch import fingerprints_of_edits, likeness, shown
@@ -225,3 +226,16 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every page, from its text, markup, address and host."""
     return identify(table(spark, folder, "pages"), table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
+@query()
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and the text that they give again."""
+    path = vocabulary("word_bpe_49k.json")
+    encoded = encode(table(spark, folder, "documents").select("doc_id", "text"), path).drop("text")
+    return decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
