@@ -13,7 +13,11 @@ def test_equals_sql(spark, key):
     assert differences(LLM_QUERIES[key](spark, FOLDER), connect(FOLDER), LLM_ORACLES[key]) == []
 
 
-@pytest.mark.parametrize("key", sorted(set(LLM_QUERIES) - set(LLM_ORACLES)))
+#: Their own tests hold their rows against brute force.
+OTHER_ROWS = {"op11_prefix_trie", "op13_whitening"}
+
+
+@pytest.mark.parametrize("key", sorted(set(LLM_QUERIES) - set(LLM_ORACLES) - OTHER_ROWS))
 def test_gives_a_row_per_row(spark, key):
     read = "pages" if key.startswith("op3") else "documents"
     expected = spark.read.parquet(f"{FOLDER}/{read}.parquet").count()
@@ -26,5 +30,5 @@ def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {f"{k.split('_')[0]}_" for k in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {f"{k.split('_')[0]}_" for k in names}
     assert "pipeline" in names

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import quality, toxicity
+from touchline.llm import quality, toxicity, whitening
 from touchline.llm.bpe import decode, encode
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
@@ -239,3 +239,23 @@ def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on each of the 16 leading components, scaled to unit variance."""
+    numbers = whitening.whole_numbers(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    distinct, length = whitening.distinct_vectors(numbers)
+    model = whitening.fit(distinct, length, components=16)
+    error = whitening.identity_error(distinct, model)
+    shares = F.lit(model.explained.tolist()).cast("array<double>")
+    done = whitening.whiten(numbers.drop("embedding"), model)
+    return done.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(shares, F.col("at") + 1).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
