@@ -15,6 +15,7 @@ from touchline.llm.imatch import fingerprints_of_edits, likeness, shown
 from touchline.llm.langid import identify
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.packing import pack
+from touchline.llm.prefixtrie import ordered_codes, path_of, prefix_trie
 from touchline.llm.simhash import near_groups
 from touchline.llm.substring import dedup_substrings
 from touchline.llm.text import table
@@ -259,3 +260,21 @@ def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
         F.element_at(shares, F.col("at") + 1).alias("explained"),
         F.lit(error).cast("double").alias("identity_error"),
     )
+
+
+def rebuilt_conversations(turns: DataFrame) -> DataFrame:
+    """``conv_id, path``: every conversation c with its first h turns replaced by those of
+    conversation c - c % 5, where h is the CRC-32 of its id, modulo 9."""
+    convs = pinned(ordered_codes(turns), "codes")
+    heads = convs.filter(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("base"), F.slice("codes", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    joined = convs.withColumn("h", h).withColumn("base", F.col("conv_id") - F.col("conv_id") % 5).join(heads, "base", "left")
+    start = F.slice(F.coalesce("head", F.array().cast("array<binary>")), F.lit(1), F.col("h"))
+    rest = F.slice("codes", F.col("h") + 1, F.greatest(F.size("codes") - F.col("h"), F.lit(0)))
+    return joined.select("conv_id", path_of(F.concat(start, rest)).alias("path"))
+
+
+@query()
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations."""
+    return prefix_trie(pinned(rebuilt_conversations(table(spark, folder, "conversations")), "sequences"))
