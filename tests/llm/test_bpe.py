@@ -7,7 +7,7 @@ import pytest
 from messy import documents, texts
 from tokenizers import Tokenizer
 
-from touchline.llm.bpe import Encoder, Remembered, Vocabulary, decode, encode
+from touchline.llm.bpe import Encoder, Vocabulary, decode, encode
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -29,7 +29,7 @@ def vocabulary():
 
 def test_equals_the_library(spark, library):
     rows = [(i, t) for i, (_, t) in enumerate([*texts(), *[(0, t) for t in ODD]])] + [(None, "no id"), (3, "again"), (3, "again")]
-    got = decode(encode(documents(spark, rows).repartition(3), PATH, chars=4000), PATH, ids=1000)
+    got = decode(encode(documents(spark, rows).repartition(3), PATH, size=4000), PATH, ids=1000)
     assert set(documents(spark, []).columns) < set(got.columns)
     found = sorted((str(r["doc_id"]), r["text"] or "", r["ids"], r["decoded"], r["lang"]) for r in got.collect())
     want = []
@@ -49,6 +49,11 @@ def test_column_names_and_empty_tables(spark):
     assert [r["decoded"] for r in decode(nulls, PATH).collect()] == ["", ""]
 
 
+def test_every_latin_letter_in_a_word(library):
+    around = [f"{c} a{c} {c}B Zz{c}y {c}. {c}{c}" for c in map(chr, range(0x250))]
+    assert Encoder(PATH).encode(around) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in around]
+
+
 def test_guesses_that_fail_are_merged(library):
     drawn = random.Random(3)
     words = ["".join(drawn.choice("abehinrst") for _ in range(drawn.randint(1, 14))) for _ in range(8000)]
@@ -93,13 +98,14 @@ def test_whole_tokens_are_those_that_their_text_gives(vocabulary):
 
 def test_memory_is_bounded_and_changes_nothing(library):
     drawn = random.Random(9)
-    batches = [[" ".join("".join(drawn.choices("abcdefgh", k=3)) for _ in range(40)) for _ in range(5)] for _ in range(30)]
-    encoder = Encoder(PATH, remembered=50)
+    common = ["the", "of", "and.", "it's"]
+    batches = [[" ".join([*common, *("".join(drawn.choices("abcdefgh", k=3)) for _ in range(40))]) for _ in range(5)] for _ in range(30)]
+    encoder = Encoder(PATH, remembered=300)
     for batch in batches:
         assert encoder.encode(batch) == [np.array(library.encode(t).ids, "<u4").tobytes() for t in batch]
-        assert len(encoder.words.young) <= 50 + 200 and len(encoder.words.old) <= 50 + 200
-    memory = Remembered(2, {1: 1, 2: 2, 3: 3})
-    assert memory.unknown({1, 9}) == {9} and memory.young == {1: 1} and memory.old == {1: 1, 2: 2, 3: 3}
+        assert len(encoder.known) == len(encoder.lengths) == len(encoder.used) <= 500
+        assert encoder.lengths.sum() == len(encoder.table)
+        assert {"the", "of", "and", "it's"} <= set(encoder.known.to_pylist())
 
 
 def test_other_kinds_of_vocabulary_are_refused(tmp_path):
