@@ -18,120 +18,34 @@ Other columns are not carried.
 
 from __future__ import annotations
 
-import re
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-#: The pre-tokenisation of the vocabulary, for lower-cased words.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-#: Letters up to here are lower-cased one by one and alike everywhere, but for one.
-LATIN, DOTTED_I = "ɏ", "İ"
-BEYOND_LATIN = re.compile("[^\x00-\u024f]|\u0130")
-#: White space for str.split() that is none for the tokenizer.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
+from touchline.llm.bpe import Encoder, parts_of, text_sizes
 
 ROW = "doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-@dataclass
 class WordTokenizer:
-    """The tokenizer's ids of a text as little-endian 32-bit numbers.
+    """The vocabulary's ids of a text as little-endian 32-bit numbers, and an end mark.
 
-    The vocabulary never joins across white space, so words are looked up in a memory of those
-    seen before. What is new goes to the tokenizer in batches. With ``added``, texts that contain
-    an added token go to the tokenizer whole; otherwise such a token is spelled out like any word.
-    """
-
-    path: str
-    end: int = 1
-    remembered: int = 500_000
-    added: bool = False
-    words: dict[str, bytes] = field(default_factory=dict)
-    pieces: dict[str, bytes] = field(default_factory=dict)
-
-    def __post_init__(self):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(self.path)
-        # The memory's words and pieces are parts of texts, lower-cased, and hold no added token.
-        self.tokenizer.encode_special_tokens = True
-        self.plain = Tokenizer.from_file(self.path)
-        self.marks = [t.content for t in self.plain.get_added_tokens_decoder().values()] if self.added else []
-        vocabulary = self.tokenizer.get_vocab()
-        self.stops = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.stops[[i for token, i in vocabulary.items() if token[0] in ".!?"]] = True
-        self.last = np.zeros_like(self.stops)
-        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encode_whole(self, text: str) -> bytes:
-        tokenizer = self.plain if self.added else self.tokenizer
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode_pieces(self, pieces: list[str], together: int = 4096) -> list[bytes]:
-        """The ids of pieces that are one word each: many make a text, whose ids are told apart
-        by the mark on the last id of a word."""
-        found = []
-        parts = [pieces[at : at + together] for at in range(0, len(pieces), together)]
-        for part, ids in zip(parts, self._encode([" ".join(part) for part in parts])):
-            ends = (np.flatnonzero(self.last[np.frombuffer(ids, "<u4")]) + 1) * 4
-            if len(ends) == len(part):
-                found += [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            else:
-                found += self._encode(part)
-        return found
-
-    def _learn(self, new: set[str]) -> None:
-        split, odd = [], []
-        for word in new:
-            # Composition leaves letters of this range as they are.
-            if not word.isascii() and (max(word) > LATIN or DOTTED_I in word):
-                odd.append(word)
-                continue
-            core = word.rstrip(".,")
-            if not core.isalpha():
-                split.append((word, PIECE.findall(word.lower())))
-            elif len(core) == len(word):
-                split.append((word, (core.lower(),)))
-            else:
-                split.append((word, (core.lower(), word[len(core) :])))
-        unknown = list({p for _, found in split for p in found}.difference(self.pieces))
-        self.pieces.update(zip(unknown, self._encode_pieces(unknown)))
-        pieces = self.pieces
-        for word, found in split:
-            self.words[word] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[p] for p in found])
-        self.words.update(zip(odd, self._encode(odd)))
+    With ``added``, an added token in a text is one id; otherwise it is spelled out like any word."""
 
-    def _words(self, text: str) -> list[str] | None:
-        """Lower-cased where that is the same letter by letter; None for texts to encode whole."""
-        if any(c in text for c in SEPARATORS) or any(mark in text for mark in self.marks):
-            return None
-        return (text if BEYOND_LATIN.search(text) else text.lower()).split()
+    def __init__(self, path: str, end: int = 1, remembered: int = 300_000, added: bool = False):
+        self.encoder = Encoder(path, remembered, added)
+        self.mark = np.array([end], "<u4").tobytes()
+        texts = self.encoder.vocabulary.texts
+        self.stops = np.array([text[:1] in (".", "!", "?") for text in texts])
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, and the end mark."""
-        if len(self.words) > self.remembered or len(self.pieces) > self.remembered:
-            self.words.clear()
-            self.pieces.clear()
-        mark = np.array([self.end], "<u4").tobytes()
-        plain = [self._words(text) for text in texts]
-        if new := set().union(*filter(None, plain)).difference(self.words):
-            self._learn(new)
-        look_up = self.words.__getitem__
-        return [
-            (self._encode_whole(text) if words is None else b"".join(map(look_up, words))) + mark
-            for text, words in zip(texts, plain)
-        ]
+        return [ids + self.mark for ids in self.encoder.encode(texts)]
 
 
 @lru_cache(maxsize=1)
@@ -267,8 +181,7 @@ def pack(
 
         for batch in batches:
             id_type = batch.column("doc_id").type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in parts_of(batch, text_sizes(batch.column("text")), 1 << 22):
                 ids = words.batch([t or "" for t in part.column("text").to_pylist()])
                 for doc_id, tokens in zip(part.column("doc_id").to_pylist(), ids):
                     packer.add(doc_id, tokens)
