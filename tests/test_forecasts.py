@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.functions import expected_score, outcome_signal, triple
 from touchline.operators import calibration, judging, pooling, relational
 from touchline.operators.components import connected_components
-from touchline.operators.rating import rate_matches
+from touchline.operators.rating import _fold, levels, rate_matches
 
 LOG = "match_id int, match_start string, home_team string, away_team string, result string"
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -77,6 +78,33 @@ def test_sliced_ratings_equal_the_loop(spark):
     assert_same(rated(spark, rows, task_rows=60), plain_ratings(rows))
 
 
+@pytest.mark.parametrize("teams, matches", [(2, 40), (3, 1), (7, 200), (60, 500), (1, 5)])
+def test_levels_of_matches(teams, matches):
+    drawn = np.random.default_rng(teams)
+    home, away = drawn.integers(0, teams, (2, matches))
+    used, codes = np.unique(np.concatenate([home, away]), return_inverse=True)
+    home, away = codes[:matches], codes[matches:]
+    last, want = {}, []
+    for h, a in zip(home.tolist(), away.tolist()):
+        want.append(max(last.get(h, 0), last.get(a, 0)) + 1)
+        last[h] = last[a] = want[-1]
+    got = np.zeros(matches, dtype=int)
+    for number, level in enumerate(levels(home, away), 1):
+        assert (got[level] == 0).all()
+        got[level] = number
+    assert got.tolist() == want
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_fold_in_blocks_equals_the_loop(block):
+    rows = sorted(made_log(5, 400, 30), key=lambda r: (r[1], r[0])) + [(1, "2025", "t1", "t1", "1"), (2, "2025", "t1", None, "X")]
+    frame = pd.DataFrame(rows, columns=["match_id", "match_start", "home_team", "away_team", "result"])
+    frame["points"] = frame["result"].map({"1": 1.0, "X": 0.5, "2": 0.0})
+    frame["component"], frame["row"], frame["home_start"], frame["away_start"] = "", range(len(frame)), 1500.0, 1500.0
+    done = pd.concat(_fold(20.0, 65.0, block)(frame.iloc[i : i + 5] for i in range(0, len(frame), 5)))
+    assert_same({r.match_id: (r.elo_home, r.elo_away) for r in done.itertuples()}, plain_ratings(rows))
+
+
 def test_copies_do_not_pile_up_in_a_slice(spark):
     """Rows that share start and id are folded in input order and spread over slices."""
     copies = [(1, "2024-01-01", "A", "B", "1")] * 90
@@ -114,7 +142,10 @@ def test_components(spark):
     assert got == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x", "z": "z"}
     chain = [(f"{i:02d}", f"{i + 1:02d}") for i in range(30)]
     links = spark.createDataFrame(chain, "left string, right string")
-    assert connected_components(links).select("component").distinct().collect() == [("00",)]
+    for bound in (0, 1_000_000):
+        assert connected_components(links, bound).select("component").distinct().collect() == [("00",)]
+        assert {r.node: r.component for r in connected_components(df, bound).collect()} == got
+    assert connected_components(df.limit(0)).collect() == []
 
 
 @FEW

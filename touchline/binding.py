@@ -68,6 +68,22 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(text, orders=table(spark, sf_dir, "orders"))
 
 
+#: Clubs of the linked matches, each of which meets every other.
+CLUBS = 100
+LINKED = f"""
+linked AS (
+  SELECT match_id, match_date, match_start, result,
+    CAST(home % {CLUBS} AS INT) AS h, CAST((home % {CLUBS} + 1 + match_id % {CLUBS - 1}) % {CLUBS} AS INT) AS a
+  FROM (SELECT *, CAST(substr(home_team, 6) AS BIGINT) AS home FROM matches))
+"""
+
+
+def linked_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same matches between clubs that are all linked to one another."""
+    body = "SELECT match_id, match_start, result, concat('Club ', h) AS home_team, concat('Club ', a) AS away_team FROM linked"
+    return spark.sql("WITH" + COMMON.replace("FROM orders", "FROM {orders}") + f", {LINKED} {body}", orders=table(spark, sf_dir, "orders"))
+
+
 def on_matches(body: str, recursive: bool = False) -> str:
     """A stand-alone statement whose body may read ``matches``; a body that begins with
     more common table expressions starts with a comma."""

@@ -2,16 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.sources.workspace import pinned
 
 
-def connected_components(pairs: DataFrame) -> DataFrame:
+#: Distinct pairs up to which one task labels all nodes: some 100 MB.
+ONE_TASK_PAIRS = 1_000_000
+
+
+def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The labels of all nodes of a task's links, by the same rounds on arrays."""
+    held = list(batches)
+    if not held:
+        return
+    links = pd.concat(held, ignore_index=True)
+    codes, nodes = pd.factorize(pd.concat([links["node"], links["neighbour"]]), sort=True)
+    a, b = codes[: len(links)], codes[len(links) :]
+    label = np.arange(len(nodes))
+    while True:
+        heard = label.copy()
+        np.minimum.at(heard, a, label[b])
+        heard = heard[heard]
+        if (heard == label).all():
+            break
+        label = heard
+    yield pd.DataFrame({"node": nodes, "component": nodes[label]})
+
+
+def connected_components(pairs: DataFrame, one_task_pairs: int = ONE_TASK_PAIRS) -> DataFrame:
     """Label every node of ``pairs(left, right)`` with the smallest node it can reach.
 
-    Each round hands every node the smallest label among its neighbours, then the label of
+    Up to ``one_task_pairs`` distinct pairs are labelled within one task, as each round over tables
+    costs several jobs. Beyond that, each round hands every node the smallest label among its neighbours, then the label of
     the node so named; that second step doubles the distance covered. A round's result is
     written, so that neither the plan nor the loss of an executor makes a round repeat the
     ones before it. Returns ``(node, component)``. The rounds go on until no label changes.
@@ -26,6 +54,9 @@ def connected_components(pairs: DataFrame) -> DataFrame:
         )
     )
     links = pinned(both, "links")
+    if links.count() <= 2 * one_task_pairs:
+        kind = links.schema["node"].dataType.simpleString()
+        return links.coalesce(1).mapInPandas(_label, f"node {kind}, component {kind}")
     labels = pinned(
         links.groupBy("node").agg(F.least(F.min("neighbour"), F.col("node")).alias("component")),
         "labels",

@@ -2,21 +2,27 @@
 
 A rating depends on every earlier match of both sides, but on no match of teams that are
 linked to neither. The matches are therefore split into the connected components of the
-graph of teams, which are folded in parallel, each in time order within one task.
+graph of teams, which are folded in parallel, each in time order within one task. A task folds
+all its components together, level by level: the matches that are next for both of their sides
+do not touch each other and are rated as arrays.
 
 A component is sequential by nature. So that no task and no retry folds more than about
 ``task_rows`` rows of one, the matches are cut into as many time slices as the largest component
 needs, one in most cases. Slices are folded in turn, the components of each in parallel; the
 ratings between them are a written table. The result is that of one fold over everything.
 
-Limit: where all teams are linked, as in one league system, a slice is one task's work.
+Limit: where all teams are linked, as in one league system, a slice is one task's work, and its
+levels hold as many matches as its teams play at a time.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,31 +39,77 @@ TASK_ROWS = 2_000_000
 CARRIED = ["component", "row", "match_start", "home_team", "away_team"]
 
 
-def _fold(step: float, home_bonus: float):
-    """The fold over the Arrow batches of one task. Only current ratings are kept. A team's
-    first rating is the one its row brings along; the ratings after a match are given too."""
+def levels(home: np.ndarray, away: np.ndarray) -> Iterator[np.ndarray]:
+    """The matches, as positions in time order, level by level: a match's level is one more than
+    that of the last match before it of either side, so no team plays twice in a level.
+
+    Each round takes the matches that are next for both sides; only teams that have just played
+    can bring up a new one, so all rounds together look at every match twice.
+    """
+    n, alone = len(home), home == away
+    team = np.concatenate([home, away[~alone]])
+    match = np.concatenate([np.arange(n), np.flatnonzero(~alone)])
+    order = np.lexsort((match, team))
+    team, match = team[order], match[order]
+    teams = int(team.max(initial=-1)) + 1
+    # Past a team's last match stands n, which is next for nobody.
+    ends = np.cumsum(np.bincount(team, minlength=teams) + 1) - 1
+    queue = np.full(len(match) + teams, n)
+    queue[np.arange(len(match)) + team] = match
+    at = np.concatenate(([0], ends[:-1] + 1)) if teams else ends
+    next_ = queue[at] if teams else at
+    home, away = np.append(home, 0), np.append(away, 0)
+    moved = np.arange(teams)
+    while len(moved):
+        found = next_[moved]
+        found = found[found < n]
+        ready = np.unique(found[(next_[home[found]] == found) & (next_[away[found]] == found)])
+        if len(ready):
+            yield ready
+        moved = np.unique(np.concatenate([home[ready], away[ready]]))
+        at[moved] += 1
+        next_[moved] = queue[at[moved]]
+
+
+def _fold(step: float, home_bonus: float, rows_at_once: int = 200_000):
+    """The fold over the Arrow batches of one task, in blocks of rows, each level by level. Between
+    blocks only current ratings are kept. A team's first rating is the one its row brings along;
+    the ratings after a match are given too."""
+    current: dict = {}
+
+    def rated(block):
+        n = len(block)
+        codes, names = pd.factorize(pd.concat([block["home_team"], block["away_team"]]), use_na_sentinel=False)
+        names = [None if pd.isna(name) else name for name in names]
+        starts = np.empty(len(names))
+        starts[codes] = np.concatenate([block["home_start"], block["away_start"]])
+        ratings = np.array([current.get(name, start) for name, start in zip(names, starts)])
+        home, away, took = codes[:n], codes[n:], block["points"].to_numpy(float)
+        before, after = np.empty((2, n)), np.empty((2, n))
+        for level in levels(home, away):
+            h, a = ratings[home[level]], ratings[away[level]]
+            before[:, level] = h, a
+            shift = step * (took[level] - 1.0 / (1.0 + 10.0 ** ((a - h - home_bonus) / 400.0)))
+            shift = np.where(np.isnan(shift), 0.0, shift)  # a match without result
+            h, a = h + shift, a - shift
+            ratings[home[level]] = h
+            ratings[away[level]] = a
+            after[:, level] = h, a
+        current.update(zip(names, ratings.tolist()))
+        done = block[["match_id", *CARRIED]]
+        return done.assign(elo_home=before[0], elo_away=before[1], home_after=after[0], away_after=after[1])
 
     def fold(batches):
-        current = {}
+        current.clear()
+        held, rows = [], 0
         for batch in batches:
-            before, after = [], []
-            for home, away, took, home_start, away_start in zip(
-                *(batch[name].tolist() for name in ("home_team", "away_team", "points", "home_start", "away_start"))
-            ):
-                h = current.get(home, home_start)
-                a = current.get(away, away_start)
-                before.append((h, a))
-                if took == took:  # not NaN: the match has a result
-                    shift = step * (took - 1.0 / (1.0 + 10.0 ** ((a - h - home_bonus) / 400.0)))
-                    h, a = h + shift, a - shift
-                    current[home] = h
-                    current[away] = a
-                after.append((h, a))
-            rated = batch[["match_id", *CARRIED]]
-            for names, pairs in ((("elo_home", "elo_away"), before), (("home_after", "away_after"), after)):
-                for side, name in enumerate(names):
-                    rated = rated.assign(**{name: [pair[side] for pair in pairs]})
-            yield rated
+            held.append(batch)
+            rows += len(batch)
+            if rows >= rows_at_once:
+                yield rated(pd.concat(held, ignore_index=True))
+                held, rows = [], 0
+        if rows:
+            yield rated(pd.concat(held, ignore_index=True))
 
     return fold
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from touchline.binding import AS_OF, CUTOFF, ORIGINS, on_matches
+from touchline.binding import AS_OF, CLUBS, CUTOFF, LINKED, ORIGINS, on_matches
 
 LOOKUP = """
 lookup(league_name, country) AS (
@@ -80,6 +80,17 @@ fold AS (
 elo AS (SELECT match_id, elo_home, elo_away FROM fold WHERE n > 0)
 """
 
+# The same over one sequence of linked clubs.
+ELO_LINKED = (
+    ELO.replace("CAST(home % 40 + 1 AS INT) AS h, CAST(away % 40 + 1 AS INT) AS a,", "h + 1 AS h, a + 1 AS a,")
+    .replace(
+        """(SELECT *, CAST(substr(home_team, 6) AS BIGINT) AS home, CAST(substr(away_team, 6) AS BIGINT) AS away,
+          CAST(substr(home_team, 6) AS BIGINT) // 40 AS pool FROM matches)""",
+        "(SELECT *, 0 AS pool FROM linked)",
+    )
+    .replace("generate_series(1, 40)", f"generate_series(1, {CLUBS})")
+)
+
 # Isotonic regression by its max-min formula over segment means, read between the points by
 # straight lines.
 CURVE = """
@@ -429,6 +440,10 @@ GROUP BY 1, 2, 3, 4, 5"""),
         f", {ELO.strip()} SELECT match_id, round(elo_home, 4) AS elo_home, round(elo_away, 4) AS elo_away FROM elo",
         recursive=True,
     ),
+    "elo_linked": on_matches(
+        f", {LINKED.strip()}, {ELO_LINKED.strip()} SELECT match_id, round(elo_home, 4) AS elo_home, round(elo_away, 4) AS elo_away FROM elo",
+        recursive=True,
+    ),
     "elo_summary": on_matches(
         f", {ELO.strip()} SELECT count(*) AS matches, round(min(elo_home), 1) AS lowest, "
         "round(max(elo_home), 1) AS highest, round(avg(elo_home), 1) AS mean FROM elo",

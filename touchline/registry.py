@@ -442,6 +442,13 @@ def elo_ratings(spark, sf_dir):
     return _rounded(rated, 4, ["elo_home", "elo_away"])
 
 
+@query
+def elo_linked(spark, sf_dir):
+    """One component that holds every match."""
+    rated = rating.rate_matches(binding.linked_matches(spark, sf_dir))
+    return _rounded(rated, 4, ["elo_home", "elo_away"])
+
+
 @query
 def elo_summary(spark, sf_dir):
     return audit.rating_summary(rating.rate_matches(binding.matches(spark, sf_dir)))
