@@ -56,6 +56,54 @@ def test_lines_equal_brute_force(spark, modulus):
     assert pairs(got, "doc_id", "text") == kept_lines(rows, modulus)
 
 
+def without_repeated_pairs(rows, modulus=4):
+    """Every chunk, and every stretch from a line with content to the next, goes but for its first place."""
+    order = sorted({(d, t) for d, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, _row_key(r[1])))
+    places, found = {}, []
+    for at, (doc, text) in enumerate(order):
+        lines = text.split("\n")
+        v = [int(hashlib.md5(x.encode()).hexdigest()[:6], 16) for x in lines]
+        full = [i for i, x in enumerate(lines) if x.strip(" ")]
+        spans, start = set(zip(full, full[1:])), 0
+        for i in range(len(lines)):
+            if i == len(lines) - 1 or (v[i] + (31 * v[i - 1] if i else 0)) % modulus == 0:
+                if sum(start <= j <= i for j in full) > 1:
+                    spans.add((start, i))
+                start = i + 1
+        for a, b in spans:
+            chunk = tuple(lines[a : b + 1])
+            places[chunk] = min(places.get(chunk, (at, a)), (at, a))
+            found.append((at, a, b, chunk))
+    gone = {(at, i) for at, a, b, chunk in found if places[chunk] != (at, a) for i in range(a, b + 1)}
+    left = {r: "\n".join(x for i, x in enumerate(r[1].split("\n")) if (at, i) not in gone) for at, r in enumerate(order)}
+    return sorted(((d, left.get((d, t))) for d, t in rows), key=str), gone, order
+
+
+@pytest.mark.parametrize("modulus", [1, 4])
+def test_short_passages_equal_brute_force(spark, modulus):
+    passage = ["  ".join(prose(i, 4)) for i in range(300, 312)]
+    rows = texts() + [(200 + i, "\n".join([f"own {i}", *passage[i:], "", f"end {i}"])) for i in range(6)]
+    rows += [(300, "same\n" * 8), (301, "x\nsame\nsame\nsame\ny"), (302, "a\n \nb\nc"), (303, "k\na\n \nb\nl"), (304, "p\nq\np\nq\np\nq")]
+    got = dedup_lines(documents(spark, rows), modulus=modulus, short=True)
+    assert pairs(got, "doc_id", "text") == without_repeated_pairs(rows, modulus)[0]
+
+
+def test_recall_of_repeated_runs(spark):
+    """Lines in runs of two or more lines with content that also stand at an earlier place."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    seen, repeated = {}, set()
+    for doc, text in sorted(rows):
+        lines = (text or "").split("\n")
+        full = [i for i, x in enumerate(lines) if x.strip(" ")]
+        for a, b in zip(full, full[1:]):
+            if seen.setdefault(tuple(lines[a : b + 1]), (doc, a)) != (doc, a):
+                repeated |= {(doc, i) for i in range(a, b + 1)}
+    spans = mark_repeated(docs, short=True).filter("__spans IS NOT NULL").select("doc_id", "__spans").collect()
+    removed = {(r["doc_id"], i) for r in spans for s in r["__spans"] for i in range(s["start"], s["start"] + s["n"])}
+    assert len(repeated) > 50 and len(repeated & removed) >= 0.9 * len(repeated)
+
+
 def test_lines_survive_hash_collisions(spark, monkeypatch):
     """Chunks with equal hashes are compared byte by byte."""
     from touchline.llm import linededup

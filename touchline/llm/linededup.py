@@ -6,14 +6,19 @@ line moves them no further than the next cut. Chunks that hold at least two line
 and occur more than once are removed, but for the occurrence in the smallest document at its
 smallest line, after their bytes have been compared with those of that occurrence.
 
+A passage shorter than a chunk need not hold a whole one, and how a chunk begins depends on the line
+before it. With ``short``, the smallest chunks that have two lines of content count too, whatever the
+rolling hash: from each line with content to the next one. What either finds is removed; every
+removed line is equal to an earlier one, so no line is lost altogether.
+
 Defined results: a NULL text has no lines and stays NULL; an empty text is one empty line; a line
-of spaces is no content; rows equal in id and text count as one document and get the same
+of spaces is no content; with ``short``, one of several equal lines in a row stays; rows equal in id and text count as one document and get the same
 result; NULL ids come before all others. Other columns are kept as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.text import let, rows_key
@@ -65,7 +70,17 @@ def _joined(lines: Column, start: Column, n: Column) -> Column:
     return F.array_join(F.slice(lines, start + 1, n), "\n")
 
 
-def chunks(docs: DataFrame, window: int, modulus: int) -> DataFrame:
+def neighbours(lines: Column) -> Column:
+    """``(start, n)`` from each line with content to the next one."""
+
+    def spans(at: Column) -> Column:
+        last = F.greatest(F.size(at) - 1, F.lit(0))
+        return F.zip_with(F.slice(at, F.lit(1), last), F.slice(at, F.lit(2), last), lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("n")))
+
+    return let(F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i)) != ""), spans)
+
+
+def chunks(docs: DataFrame, window: int, modulus: int, short: bool = False) -> DataFrame:
     """The chunks with two lines of content: ``doc_id, row_key, start, n, key, length``."""
 
     def one(lines: Column, start: Column, n: Column) -> Column:
@@ -79,13 +94,27 @@ def chunks(docs: DataFrame, window: int, modulus: int) -> DataFrame:
             ),
         )
 
-    found = let(
-        split_lines(F.col("text")),
-        lambda lines: let(
+    def every(lines: Column) -> Column:
+        long = let(
             chunk_ends(lines, window, modulus),
             lambda ends: F.filter(_between(ends, lambda s, n: one(lines, s, n)), lambda c: c["several"]),
-        ),
-    )
+        )
+        if not short:
+            return long
+
+        def pair(span: Column) -> Column:
+            joined = _joined(lines, span["start"], span["n"])
+            return let(
+                joined,
+                lambda t: F.struct(
+                    span["start"].alias("start"), span["n"].alias("n"), F.xxhash64(t).alias("key"), F.octet_length(t).alias("length"),
+                    F.lit(True).alias("several"),
+                ),
+            )
+
+        return F.array_union(long, F.transform(neighbours(lines), pair))
+
+    found = let(split_lines(F.col("text")), every)
     return (
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", rows_key(F.col("text")).alias("row_key"), F.inline(found))
@@ -93,9 +122,10 @@ def chunks(docs: DataFrame, window: int, modulus: int) -> DataFrame:
     )
 
 
-def repeated_chunks(docs: DataFrame, window: int = 2, modulus: int = 4) -> DataFrame:
+def repeated_chunks(docs: DataFrame, window: int = 2, modulus: int = 4, short: bool = False) -> DataFrame:
     """Chunks to remove: ``doc_id, row_key, start, n``."""
-    every = pinned(chunks(docs.select("doc_id", "text"), window, modulus), "chunks")
+    kinds = {"short": True} if short else {}
+    every = pinned(chunks(docs.select("doc_id", "text"), window, modulus, **kinds), "chunks")
     place = F.struct("doc_id", "row_key", "start")
     firsts = (
         every.groupBy("key", "length")
@@ -136,12 +166,18 @@ def repeated_chunks(docs: DataFrame, window: int = 2, modulus: int = 4) -> DataF
     return others.join(kept, "key").filter(F.col("bytes") == F.col("first_bytes")).select("doc_id", "row_key", "start", "n")
 
 
-def mark_repeated(docs: DataFrame, window: int = 2, modulus: int = 4) -> DataFrame:
-    """The documents with ``__spans``, the ``(start, n)`` of the lines to remove, or NULL."""
+def mark_repeated(docs: DataFrame, window: int = 2, modulus: int = 4, short: bool = False) -> DataFrame:
+    """The documents with ``__spans``, the ``(start, n)`` of the lines to remove, or NULL. Spans do
+    not overlap."""
+    found = repeated_chunks(docs, window, modulus, short)
+    until = F.col("start") + F.col("n")
+    order = Window.partitionBy("doc_id", "row_key").orderBy("start", "n").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.greatest("start", F.coalesce(F.max(until).over(order), F.lit(0)))
     spans = (
-        repeated_chunks(docs, window, modulus)
+        found.select("doc_id", "row_key", begin.alias("start"), until.alias("until"))
+        .filter(F.col("start") < F.col("until"))
         .groupBy(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"))
-        .agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("__spans"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", (F.col("until") - F.col("start")).alias("n")))).alias("__spans"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (rows_key(F.col("text")) == F.col("__key"))
     return docs.join(spans, same, "left").drop("__id", "__key")
@@ -164,7 +200,7 @@ def kept_text(text: Column, spans: Column) -> Column:
     return F.when(spans.isNull(), text).otherwise(let(split_lines(text), keep))
 
 
-def dedup_lines(docs: DataFrame, window: int = 2, modulus: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = 2, modulus: int = 4, short: bool = False) -> DataFrame:
     """The documents without repeated chunks, with the columns they had."""
-    marked = mark_repeated(docs, window, modulus)
+    marked = mark_repeated(docs, window, modulus, short)
     return marked.withColumn("text", kept_text(F.col("text"), F.col("__spans"))).select(*docs.columns)

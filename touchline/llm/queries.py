@@ -118,10 +118,13 @@ e AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i:
   i = len(l) OR (v[i] + CASE WHEN i > 1 THEN v[i - 1] * 31 ELSE 0 END) % 4 = 0) AS e FROM v),
 c AS (SELECT doc_id, l, unnest(list_transform(range(1, len(e) + 1), lambda j:
   {'s': CASE WHEN j > 1 THEN e[j - 1] ELSE 0 END, 'e': e[j]})) AS c FROM e),
+w AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i: trim(l[i], ' ') <> '') AS w FROM d),
+p AS (SELECT doc_id, l, unnest(list_transform(range(1, len(w)), lambda j: {'s': w[j] - 1, 'e': w[j + 1]})) AS c FROM w),
 t AS (SELECT doc_id, c.s AS s, c.e - c.s AS n, array_to_string(l[c.s + 1:c.e], chr(10)) AS chunk FROM c
-  WHERE len(list_filter(l[c.s + 1:c.e], lambda x: trim(x, ' ') <> '')) > 1),
+  WHERE len(list_filter(l[c.s + 1:c.e], lambda x: trim(x, ' ') <> '')) > 1
+  UNION SELECT doc_id, c.s AS s, c.e - c.s AS n, array_to_string(l[c.s + 1:c.e], chr(10)) AS chunk FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) AS k FROM t),
-gone AS (SELECT doc_id, list(s + i) AS lines FROM (SELECT doc_id, s, unnest(range(1, n + 1)) AS i FROM r WHERE k > 1) GROUP BY doc_id)
+gone AS (SELECT doc_id, list(DISTINCT s + i) AS lines FROM (SELECT doc_id, s, unnest(range(1, n + 1)) AS i FROM r WHERE k > 1) GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(CASE WHEN lines IS NULL THEN text ELSE
     array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(lines, i)), lambda i: l[i]), chr(10))
@@ -129,7 +132,7 @@ SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len
 FROM d LEFT JOIN gone USING (doc_id)""")
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """How many lines of every document belong to chunks that stand elsewhere, and what is left."""
-    marked = mark_repeated(table(spark, folder, "documents"))
+    marked = mark_repeated(table(spark, folder, "documents"), short=True)
     removed = F.aggregate("__spans", F.lit(0).cast("long"), lambda total, s: total + s["n"])
     return marked.select(
         "doc_id",
