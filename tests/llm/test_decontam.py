@@ -45,6 +45,17 @@ def test_equals_brute_force(spark, benchmark, broadcast_bytes, monkeypatch):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got), key=str) == expected(texts(), ITEMS, 10)
 
 
+def test_no_window_carries_its_document(spark, benchmark):
+    """Beyond the bound, what is shuffled by hash holds no array of words."""
+    grams = decontam.benchmark_grams(benchmark, 10)
+    hits = decontam.find_hits(documents(spark).select("doc_id", "text"), grams, -1)
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(hits._jdf.queryExecution(), "formatted")
+    assert "words" in plan
+    by_hash = [p for p in plan.split("\n\n") if "Exchange" in p and "hashpartitioning(key" in p]
+    joins = [p for p in plan.split("\n\n") if "Join" in p and "keys" in p and "[key" in p]
+    assert (by_hash or joins) and not any("words" in p for p in by_hash + joins)
+
+
 def test_empty_tables(spark, benchmark):
     none = benchmark.limit(0)
     got = decontam.contamination(documents(spark), none, n=10).collect()

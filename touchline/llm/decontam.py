@@ -1,8 +1,8 @@
 """Benchmark decontamination: documents are searched for the n-grams of test items.
 
 The hash set of the items' n-grams is broadcast after its size has been measured; beyond the
-bound the windows are joined by a shuffle instead. Every window of a document is looked up by
-its hash and a hit is verified word by word.
+bound the hashes of the windows are shuffled to the n-grams, and documents with equal hashes are
+read once more. Every window of a document is looked up by its hash and a hit is verified word by word.
 
 Defined results: a NULL text has no words; an item of fewer than ``n`` words is one window, one
 without words none; items with equal windows are all reported; items of one NULL id have the
@@ -44,7 +44,7 @@ def find_hits(docs: DataFrame, grams: DataFrame, broadcast_bytes: int = BROADCAS
     grams = pinned(grams, "grams")
     size = F.octet_length(F.array_join("gram", "")) + F.octet_length(F.array_join("items", "")) + F.lit(64)
     measured = grams.agg(F.sum(size).alias("bytes"), F.sort_array(F.collect_set("n")).alias("widths")).first()
-    known = F.broadcast(grams) if (measured["bytes"] or 0) <= broadcast_bytes else grams
+    small = (measured["bytes"] or 0) <= broadcast_bytes
     words = docs.select(
         "doc_id", rows_key(F.col("text")).alias("row_key"), extract_words(ascii_lower(F.col("text")), WORD).alias("words")
     )
@@ -58,10 +58,19 @@ def find_hits(docs: DataFrame, grams: DataFrame, broadcast_bytes: int = BROADCAS
     keyed = windows.filter(F.col("start") + F.col("n") <= F.size("words")).withColumn(
         "key", F.xxhash64(F.slice("words", F.col("start") + 1, F.col("n")))
     )
-    found = keyed.join(known.withColumnRenamed("n", "width"), "key")
-    return found.filter(F.slice("words", F.col("start") + 1, F.col("n")) == F.col("gram")).select(
-        "doc_id", "row_key", "start", "n", "items"
+    if small:
+        found = keyed.join(F.broadcast(grams).withColumnRenamed("n", "width"), "key")
+        return found.filter(F.slice("words", F.col("start") + 1, F.col("n")) == F.col("gram")).select(
+            "doc_id", "row_key", "start", "n", "items"
+        )
+    # A window travels as its hash and place; the words of a document meet its candidates once.
+    places = keyed.select("doc_id", "row_key", "start", "n", "key")
+    candidates = places.join(grams.withColumnRenamed("n", "width"), "key").groupBy(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).agg(
+        F.collect_list(F.struct("start", "n", "gram", "items")).alias("candidates")
     )
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row_key") == F.col("__key"))
+    verified = F.filter("candidates", lambda c: F.slice("words", c["start"] + 1, c["n"]) == c["gram"])
+    return words.join(candidates, same).select("doc_id", "row_key", F.inline(verified)).drop("gram")
 
 
 def hits_by_document(hits: DataFrame) -> DataFrame:
