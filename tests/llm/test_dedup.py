@@ -142,6 +142,28 @@ def left(rows, window):
     return sorted(found, key=str)
 
 
+def thue_morse(n):
+    return [bin(i).count("1") % 2 for i in range(n)]
+
+
+def test_different_long_sequences_have_different_digests():
+    from touchline.llm.superkmers import super_kmers, window_digests
+
+    one = [(b"ka", b"zu")[bit] for bit in thue_morse(2048)]
+    other = [(b"zu", b"ka")[bit] for bit in thue_morse(2048)]
+    a, b = (window_digests(w, 2048) for w in (one, other))
+    assert a[0][0] != b[0][0] and a[1][0] != b[1][0]
+    runs = [{(int(s), int(n)): (int(x), int(y)) for _, s, n, x, y in zip(*super_kmers(w, 2000, 16))} for w in (one, other)]
+    assert all(runs[0][k] != runs[1][k] for k in runs[0].keys() & runs[1].keys())
+
+
+def test_long_windows_equal_brute_force(spark):
+    long = " ".join(("ka", "zu")[bit] for bit in thue_morse(300))
+    rows = [(1, long), (2, "own " + long + " end"), (3, long.replace("ka", "x").replace("zu", "ka").replace("x", "zu"))]
+    got = dedup_substrings(documents(spark, rows), window=200)
+    assert pairs(got, "doc_id", "n_words", "n_removed", "kept") == left(rows, 200)
+
+
 @pytest.mark.parametrize("window, m, bucket_strings", [(10, 4, 5000), (10, 4, 1), (50, 16, 5000), (3, 3, 2), (1, 1, 1)])
 def test_substrings_equal_brute_force(spark, window, m, bucket_strings):
     rows = texts() + [(300, "a b\x1cc " * 70), (301, "a b\x1cc " * 60)]

@@ -181,11 +181,12 @@ def covered(keyed: DataFrame, window: int, m: int, bucket_strings: int) -> DataF
     every = pinned(find_super_kmers(keyed, window, m), "superkmers")
     shared = every.groupBy("minimiser").agg(F.min("id0").alias("lowest"), F.max("id0").alias("highest"))
     shared = shared.filter(F.col("lowest") < F.col("highest")).select("minimiser")
-    kept = pinned(every.join(shared, "minimiser"), "shared")
+    # Sides are written, so that both are plain shuffles, which Spark splits where a key is hot.
+    kept = pinned(every.join(pinned(shared, "minimisers"), "minimiser"), "shared")
 
     strings = pinned(kept.groupBy(*STRING).agg(F.min(F.struct("id0", "row_key", "start")).alias("at")), "strings")
     sizes = strings.groupBy("minimiser").agg(F.count("*").alias("strings")).filter("strings > 1")
-    picks = pinned(strings.join(sizes, "minimiser"), "picks")
+    picks = pinned(strings.join(pinned(sizes, "sizes"), "minimiser"), "picks")
     runs = _sorted_buckets(_packed(keyed, picks.filter(F.col("strings") <= bucket_strings), window), window)
     crowded = picks.filter(F.col("strings") > bucket_strings)
     if not crowded.isEmpty():

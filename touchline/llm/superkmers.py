@@ -60,17 +60,33 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 def super_kmers(words: list[bytes], window: int, m: int) -> tuple[np.ndarray, ...]:
     """Runs of consecutive windows that share a minimiser, the smallest hash of ``m`` words in
     the window: minimiser, first window, number of windows, and two digests of the words."""
-    first = prefix_sums(word_hashes(words, SEEDS[0]))
-    second = prefix_sums(word_hashes(words, SEEDS[1]))
+    sums = prefix_sums(word_hashes(words, 0))
     at = np.arange(len(words) - m + 1)
-    smallest = sliding_minimum(stretches(first, at, at + m), window - m + 1)
+    smallest = sliding_minimum(stretches(sums, at, at + m), window - m + 1)
     starts = np.concatenate(([0], np.flatnonzero(smallest[1:] != smallest[:-1]) + 1))
     counts = np.diff(np.concatenate((starts, [len(smallest)])))
-    ends = starts + counts + window - 1
-    return smallest[starts], starts, counts, stretches(first, starts, ends), stretches(second, starts, ends)
+    return smallest[starts], starts, counts, *byte_digests(words, starts, starts + counts + window - 1)
+
+
+def byte_digests(words: list[bytes], starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The halves of a 128-bit hash of the bytes of each stretch of words. Sums of powers are not
+    enough for long ones: modulo a power of two, different sequences of 1,024 words can agree for
+    every multiplier."""
+    joined = b" ".join(words)
+    begin = np.cumsum([0, *(len(w) + 1 for w in words)])
+    digest = xxhash.xxh3_128_digest
+    found = b"".join([digest(joined[a:b]) for a, b in zip(begin[starts].tolist(), (begin[ends] - 1).tolist())])
+    halves = np.frombuffer(found, dtype=np.uint64).reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
+
+
+#: Words of a window up to which sums of powers tell its words apart.
+SHORT = 64
 
 
 def window_digests(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit digests of each window."""
+    """Two 64-bit digests of each window."""
     at = np.arange(len(words) - window + 1)
+    if window > SHORT:
+        return byte_digests(words, at, at + window)
     return tuple(stretches(prefix_sums(word_hashes(words, seed)), at, at + window) for seed in SEEDS)
