@@ -119,3 +119,11 @@ def test_rare_languages_are_kept(spark):
     assert model.languages[int(np.argmax(model.log_likelihood("zzzyx zzzyx")))] == "xx"
     few = langid.fit_trigrams(samples.coalesce(1), held=3)
     assert np.array_equal(few.log_share, model.log_share)
+
+
+def test_statistics_of_a_bounded_draw(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 2000, 2)], "doc_id long, quality int")
+    every = {r["doc_id"] for r in quality.labelled_statistics(docs, labels, "quality").collect()}
+    few = {r["doc_id"] for r in quality.labelled_statistics(docs, labels, "quality", fit_rows=100).collect()}
+    assert 700 < len(every) < 900 and 60 < len(few) < 150 and few < every

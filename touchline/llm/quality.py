@@ -234,7 +234,15 @@ def _known(labels: DataFrame, label: str) -> DataFrame:
     return labels.filter(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label))
 
 
-def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """The same from texts. Statistics are taken where the texts lie; they, not the texts, travel to
-    the labels."""
-    return training(statistics_of(docs), labels, label)
+def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int = 50_000) -> DataFrame:
+    """The same from texts, for about ``fit_rows`` labelled rows at most, drawn by a hash of their id.
+    Statistics are taken where the texts lie; they, not the texts, travel to the labels."""
+    known = _known(labels, label)
+    share = min(1.0, fit_rows / max(1, known.count()))
+    if share < 1:
+        def drawn(rows: DataFrame) -> DataFrame:
+            number = F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")).bitwiseAND(F.lit((1 << 30) - 1))
+            return rows.filter(number < F.lit(round(share * (1 << 30))))
+
+        docs, known = drawn(docs), drawn(known)
+    return statistics_of(docs).join(known, "doc_id")
