@@ -125,12 +125,13 @@ def chunks(docs: DataFrame, window: int, modulus: int, short: bool = False) -> D
 def repeated_chunks(docs: DataFrame, window: int = 2, modulus: int = 4, short: bool = False) -> DataFrame:
     """Chunks to remove: ``doc_id, row_key, start, n``."""
     kinds = {"short": True} if short else {}
-    every = pinned(chunks(docs.select("doc_id", "text"), window, modulus, **kinds), "chunks")
+    # Read twice and cut twice: written, the chunks would take more room than their shuffles.
+    every = chunks(docs.select("doc_id", "text"), window, modulus, **kinds)
     place = F.struct("doc_id", "row_key", "start")
     firsts = (
         every.groupBy("key", "length")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter(F.col("first") != F.col("last"))
+        .agg(F.min(place).alias("first"), F.count("*").alias("times"))
+        .filter("times > 1")  # equal rows share a place, which is then the first one
         .select("key", "length", "first")
     )
     # Written, so that both sides of the join are plain shuffles, which Spark splits where a key is hot.
