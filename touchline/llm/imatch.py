@@ -6,15 +6,20 @@ Its upper end bounds the lexicon whatever the corpus: terms that stand in a shar
 distinct terms. The lexicon is therefore broadcast, after its size has been measured.
 
 A single hash over all lexicon terms changes with any of them. Several random subsets are therefore
-drawn from the lexicon, each term by a seeded hash at a fixed ``rate`` and alike for all documents.
-All of a document's distinct terms in a subset make one hash. Their 64-bit hashes are combined by
-exclusive or, which does not depend on the order, as sorting would ensure, and needs no lists in
-memory. A hash is equal if no term of the subset was added or lost; likeness is the share of equal hashes.
+drawn from the lexicon, each term by a seeded hash at a fixed ``rate`` and alike for all documents,
+and each of them is thinned to half, a quarter and so on (``halvings``), so that short and long
+documents alike have subsets that hold a few of their terms. Of each subset, a document's distinct
+terms are sorted and hashed as one sequence, so a hash is equal if no term of the subset was added
+or lost. ``whole`` is the hash of all lexicon terms of the document.
+
+``likeness`` is the share of equal hashes. With several rates, ``rate_likeness`` takes the share
+among the subsets that hold a term of either document, at the rate where it is largest.
 
 Defined results: a NULL text counts as empty; where a subset has none of a document's terms, the
-hash is that of all its lexicon terms; a document without lexicon terms is hashed by its
-whole text, so only equal ones are alike; terms are lower-cased; NULL ids come first in the
-order; rows equal in id and text count as one document. Other columns are not carried.
+hash is ``whole``; a document without lexicon terms is hashed by its whole text, so only equal ones
+are alike; two documents that fill too few subsets at every rate are alike if ``whole`` is equal;
+terms are lower-cased; NULL ids come first in the order; rows equal in id and text count as one
+document. Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.text import extract_words
+from touchline.llm.text import extract_words, let
 from touchline.sources.workspace import pinned
 
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -33,6 +38,10 @@ KEY = ["id0", "row_key"]
 #: Bytes of lexicon up to which it is sent to every executor.
 BROADCAST_BYTES = 64 << 20
 
+#: A term's depths in up to 16 subsets are packed into a long.
+DEPTH_BITS = 4
+DEPTH_MASK = (1 << DEPTH_BITS) - 1
+
 
 def terms(text: Column) -> Column:
     """The distinct terms of a text."""
@@ -62,26 +71,55 @@ def in_subset(term: Column, subset: int, rate: float, seed: int = 11) -> Column:
     return drawn < F.lit(round(rate * (1 << 20)))
 
 
-def signatures(versions: DataFrame, words: DataFrame, subsets: int, rate: float) -> DataFrame:
+def depths(term: Column, subsets: int, rate: float, halvings: int) -> Column:
+    """For each subset, by how many of its rates the term was drawn, packed into a long.
+
+    The draws of a subset are nested, as they compare one hash with falling limits.
+    """
+    if subsets * DEPTH_BITS > 64 or halvings + 1 > DEPTH_MASK:
+        raise ValueError("at most 16 subsets and 14 halvings")
+    packed = F.lit(0).cast("long")
+    for s in range(subsets):
+        drawn = [in_subset(term, s, rate / 2**k).cast("long") for k in range(halvings + 1)]
+        packed = packed.bitwiseOR(F.shiftleft(sum(drawn[1:], drawn[0]), DEPTH_BITS * s))
+    return packed
+
+
+def subset_hashes(listed: Column, whole: Column, subset: int, halvings: int) -> Column:
+    """The hashes of one subset, from its full rate to its lowest."""
+
+    def drawn(among: Column, least: int) -> Column:
+        return F.filter(
+            among,
+            lambda t: F.shiftrightunsigned(t["depths"], DEPTH_BITS * subset).bitwiseAND(F.lit(DEPTH_MASK)) > least,
+        )
+
+    def hashed(among: Column, k: int) -> Column:
+        def of(found: Column) -> Column:
+            known = F.transform(found, lambda t: t["known"])
+            return F.when(F.size(found) == 0, whole).otherwise(F.hash(known, F.lit(subset), F.lit(k)))
+
+        return let(drawn(among, k), of)
+
+    return let(drawn(listed, 0), lambda full: F.array(*[hashed(full, k) for k in range(halvings + 1)]))
+
+
+def signatures(versions: DataFrame, words: DataFrame, subsets: int, rate: float, halvings: int = 0) -> DataFrame:
     """``versions`` has a text in ``text``, other columns identify it. They come back, once
-    each, with ``hashes``. Each text's terms meet in the task that holds the text."""
+    each, with ``whole`` and ``hashes``. Each text's terms meet in the task that holds the text."""
     names = [c for c in versions.columns if c != "text"]
     listed = versions.select(*names, F.xxhash64("text").alias("text_key"), terms(F.col("text")).alias("words"))
     exploded = listed.select(*names, "text_key", F.explode_outer("words").alias("word")).withColumn("term", F.xxhash64("word"))
-    size = words.count() * 16
-    known = words.select(F.col("term").alias("known"))
+    size = words.count() * 24
+    known = words.select(F.col("term").alias("known"), depths(F.col("term"), subsets, rate, halvings).alias("depths"))
     matched = exploded.join(F.broadcast(known) if size <= BROADCAST_BYTES else known, F.col("term") == F.col("known"), "left")
-    sets = matched.groupBy(*names, "text_key").agg(
-        F.bit_xor("known").alias("all"),
-        *[F.bit_xor(F.when(in_subset(F.col("known"), s, rate), F.col("known"))).alias(f"set{s}") for s in range(subsets)],
-    )
-
-    def subset_hash(s: int) -> Column:
-        own = F.col(f"set{s}")
-        whole = F.when(F.col("all").isNull(), F.hash("text_key", F.lit(s))).otherwise(F.hash("all", F.lit(s), F.lit("all")))
-        return F.when(own.isNull(), whole).otherwise(F.hash(own, F.lit(s)))
-
-    return sets.select(*names, F.array(*[subset_hash(s) for s in range(subsets)]).alias("hashes"))
+    found = F.when(F.col("known").isNotNull(), F.struct("known", "depths"))
+    sets = matched.groupBy(*names, "text_key").agg(F.sort_array(F.collect_set(found)).alias("found"))
+    all_terms = F.transform("found", lambda t: t["known"])
+    whole = F.when(F.size("found") == 0, F.hash("text_key")).otherwise(F.hash(all_terms))
+    known_whole = sets.withColumn("whole", whole)
+    hashes = F.flatten(F.array(*[subset_hashes(F.col("found"), F.col("whole"), s, halvings) for s in range(subsets)]))
+    return known_whole.select(*names, "whole", hashes.alias("hashes"))
 
 
 def following(keyed: DataFrame) -> DataFrame:
@@ -117,18 +155,44 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(same) / F.size(a)
 
 
+def rate_likeness(a: Column, whole_a: Column, b: Column, whole_b: Column, subsets: int, halvings: int, least: int = 4) -> Column:
+    """Share of equal hashes among the subsets that hold a term of either document, at the rate
+    where it is largest; rates at which fewer than ``least`` are filled do not count."""
+    pairs = F.zip_with(a, b, lambda x, y: F.when((x == whole_a) & (y == whole_b), -1).otherwise((x == y).cast("int")))
+
+    def share(codes: Column, k: int) -> Column:
+        mine = F.array(*[F.element_at(codes, s * (halvings + 1) + k + 1) for s in range(subsets)])
+
+        def of(mine: Column) -> Column:
+            filled = F.size(F.filter(mine, lambda c: c >= 0))
+            return F.when(filled >= least, F.size(F.filter(mine, lambda c: c == 1)) / filled)
+
+        return let(mine, of)
+
+    shares = let(pairs, lambda codes: F.array_max(F.array(*[share(codes, k) for k in range(halvings + 1)])))
+    return F.coalesce(shares, (whole_a == whole_b).cast("double"))
+
+
 def shown(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
 
 
-def fingerprints(docs: DataFrame, low: float = 1.0, high: float = 7.0, subsets: int = 16, rate: float = 1 / 128) -> DataFrame:
-    """``doc_id, row_key, hashes`` of every document."""
+def fingerprints(
+    docs: DataFrame, low: float = 1.0, high: float = 7.0, subsets: int = 16, rate: float = 1 / 128, halvings: int = 0
+) -> DataFrame:
+    """``doc_id, row_key, whole, hashes`` of every document."""
     words = pinned(lexicon(docs, low, high), "lexicon")
-    return signatures(with_keys(docs), words, subsets, rate).select("doc_id", "row_key", "hashes")
+    return signatures(with_keys(docs), words, subsets, rate, halvings).select("doc_id", "row_key", "whole", "hashes")
 
 
 def fingerprints_of_edits(
-    docs: DataFrame, share: int = 4, low: float = 1.0, high: float = 7.0, subsets: int = 16, rate: float = 1 / 128
+    docs: DataFrame,
+    share: int = 4,
+    low: float = 1.0,
+    high: float = 7.0,
+    subsets: int = 16,
+    rate: float = 1 / 128,
+    halvings: int = 0,
 ) -> DataFrame:
     """Fingerprints of every document and of an edited text, in which the last ``1/share`` of its
     code points are replaced by as many from the start of the next document.
@@ -157,14 +221,20 @@ def fingerprints_of_edits(
             F.struct(F.lit(False).alias("is_edited"), F.col("text")), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text"))
         )),
     )
-    signed = pinned(signatures(versions, words, subsets, rate), "signatures")
+    signed = pinned(signatures(versions, words, subsets, rate, halvings), "signatures")
     own = signed.filter(~F.col("is_edited")).drop("is_edited").join(wanted.drop("cut"), KEY)
-    changed = signed.filter("is_edited").select(*KEY, F.col("hashes").alias("edited_hashes"))
+    changed = signed.filter("is_edited").select(*KEY, F.col("whole").alias("edited_whole"), F.col("hashes").alias("edited_hashes"))
     beyond = signed.filter(~F.col("is_edited")).select(
-        F.col("id0").alias("next_id0"), F.col("row_key").alias("next_row_key"), F.col("hashes").alias("next_hashes")
+        F.col("id0").alias("next_id0"),
+        F.col("row_key").alias("next_row_key"),
+        F.col("whole").alias("next_whole"),
+        F.col("hashes").alias("next_hashes"),
     )
     return (
         own.join(changed, KEY)
         .join(beyond, ["next_id0", "next_row_key"])
-        .select("doc_id", "row_key", "n_chars", "edited_sha256", "hashes", "edited_hashes", "next_hashes")
+        .select(
+            "doc_id", "row_key", "n_chars", "edited_sha256",
+            "whole", "hashes", "edited_whole", "edited_hashes", "next_whole", "next_hashes",
+        )
     )

@@ -11,7 +11,7 @@ from touchline.llm import quality, toxicity, whitening
 from touchline.llm.bpe import decode, encode
 from touchline.llm.chat import PartVisitor, format_conversations, read_loss, read_turns, text_parts
 from touchline.llm.decontam import contamination
-from touchline.llm.imatch import fingerprints_of_edits, likeness, shown
+from touchline.llm.imatch import fingerprints_of_edits, rate_likeness, shown
 from touchline.llm.langid import identify
 from touchline.llm.linededup import kept_text, mark_repeated, split_lines
 from touchline.llm.packing import pack
@@ -196,16 +196,23 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
-    """I-Match fingerprint of every document, of its edited text, and their likeness."""
-    found = fingerprints_of_edits(table(spark, folder, "documents"))
+    """I-Match fingerprint of every document, of its edited text, and their likeness, over eight
+    subsets of the lexicon at rates from 1/4 to 1/1024."""
+    subsets, halvings = 8, 8
+    found = fingerprints_of_edits(table(spark, folder, "documents"), subsets=subsets, rate=1 / 4, halvings=halvings)
+
+    def near(other: str):
+        own, whole = F.col("hashes"), F.col("whole")
+        return rate_likeness(own, whole, F.col(f"{other}_hashes"), F.col(f"{other}_whole"), subsets, halvings)
+
     return found.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        shown(F.col("hashes")).alias("fingerprint"),
-        shown(F.col("edited_hashes")).alias("edited_fingerprint"),
-        likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
-        likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+        shown(F.concat(F.array("whole"), "hashes")).alias("fingerprint"),
+        shown(F.concat(F.array("edited_whole"), "edited_hashes")).alias("edited_fingerprint"),
+        near("edited").alias("near_edited"),
+        near("next").alias("near_next"),
     )
 
 
