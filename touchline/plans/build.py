@@ -19,6 +19,7 @@ from touchline.operators.rating import rate_matches
 from touchline.operators.relational import inline_relation, newest_rounds, scope_semi
 from touchline.plans import audit, dimensions, facts, mart
 from touchline.sources import documents, ingest, tables
+from touchline.sources.workspace import pinned
 
 
 @dataclass(frozen=True)
@@ -71,9 +72,10 @@ def load_matches(
     Documents that cannot be parsed or carry an error are kept in a table of their own with the
     reason, and counted in the account of the load. With a ``plan`` (see ``ingest_plan``), the
     load fails if a round that the plan asks for did not arrive in an accepted document; the
-    account and the rejects are written before.
+    account and the rejects are written before. The documents are parsed once and written as
+    parsed, for all that reads them.
     """
-    landed = documents.read_documents(spark, path, multi_line)
+    landed = pinned(documents.read_documents(spark, path, multi_line), "landed")
     accepted = documents.accepted(landed)
     rejects = tables.publish(documents.rejected(landed), layers.rejects)
     account = rejects.groupBy(F.col("reason").alias("status")).agg(F.count("*").alias("documents"))
@@ -97,14 +99,14 @@ def build_dimensions(spark: SparkSession, layers: Layers, as_of: Column | None =
         ("dim_league", dimensions.league_dimension(listed)),
         ("dim_season", dimensions.season_dimension(inside, as_of)),
     ):
-        tables.overwrite(frame, f"{layers.gold}.{name}")
+        tables.publish(frame, f"{layers.gold}.{name}")
 
 
 def build_facts(spark: SparkSession, layers: Layers) -> DataFrame:
     """Both facts; the aggregate is built from the match fact as written. Returns the audit."""
     leagues = spark.table(f"{layers.gold}.dim_league")
     fact = tables.publish(facts.match_fact(spark.table(layers.matches), leagues), layers.fact)
-    tables.overwrite(facts.league_season_fact(fact), f"{layers.gold}.fact_league_season")
+    tables.publish(facts.league_season_fact(fact), f"{layers.gold}.fact_league_season")
     return audit.fact_audit(fact)
 
 
@@ -144,5 +146,6 @@ def score_newest_round(
 
 def expire(spark: SparkSession, layers: Layers, keep: int = 2) -> None:
     """Drop older versions of all published tables, once nothing reads them any more."""
-    for name in (layers.matches, layers.rejects, layers.account, layers.fact, layers.forecasts, layers.coupon):
+    made = [f"{layers.gold}.{name}" for name in ("dim_team", "dim_date", "dim_league", "dim_season", "fact_league_season")]
+    for name in (layers.matches, layers.rejects, layers.account, layers.fact, layers.forecasts, layers.coupon, *made):
         tables.expire_versions(spark, name, keep)
