@@ -10,12 +10,14 @@ lookup(league_name, country) AS (
 """
 SCOPED = "league IN ('Division A', 'Division B', 'Division C')"
 
+SEASON = """CASE WHEN month(match_date) >= 7 THEN concat(year(match_date), '/', year(match_date) + 1)
+         ELSE concat(year(match_date) - 1, '/', year(match_date)) END"""
+
 FACT = f"""
 fact AS (
   SELECT match_id AS match_key, upper(home_team) AS home_team_key, upper(away_team) AS away_team_key,
     CAST(strftime(match_date, '%Y%m%d') AS INT) AS date_key, upper(league) AS league_key,
-    CASE WHEN month(match_date) >= 7 THEN concat(year(match_date), '/', year(match_date) + 1)
-         ELSE concat(year(match_date) - 1, '/', year(match_date)) END AS season_key,
+    {SEASON} AS season_key,
     home_goals, away_goals, result, crowd_1, crowd_x, crowd_2, odds_1, odds_x, odds_2,
     start_odds_1, start_odds_x, start_odds_2, favourite_odds_1, favourite_odds_x, favourite_odds_2,
     status, betradar_id, CAST(NULL AS DOUBLE) AS calibrated_1, CAST(NULL AS DOUBLE) AS calibrated_x,
@@ -329,6 +331,22 @@ SELECT match_id AS match_key, round_number,
   CASE WHEN match_date >= DATE '1999-07-01' THEN result ELSE status END AS status,
   round(CASE WHEN match_date >= DATE '1999-07-01' THEN crowd_2 END, 6) AS crowd_2
 FROM matches"""),
+    "update_one_season": on_matches(
+        f", {FACT.strip()} SELECT season_key, count(*) AS matches, "
+        "sum(CASE WHEN season_key = '1997/1998' AND result IS NOT NULL THEN CAST(1400 + match_key * 37 % 200 AS DOUBLE) "
+        "ELSE 1500.0 END) AS elo_home, CAST(1500.0 * count(*) AS DOUBLE) AS elo_away, season_key <> '1997/1998' AS kept "
+        "FROM fact GROUP BY season_key"
+    ),
+    "upsert_moved_season": on_matches(f"""
+, seasons AS (SELECT *, {SEASON} AS season_key FROM matches),
+moved AS (
+  SELECT * REPLACE (CASE WHEN moves THEN '1995/1996' ELSE season_key END AS season_key,
+    CASE WHEN NOT moves THEN round_number END AS round_number)
+  FROM (SELECT *, season_key = '1994/1995' AND match_id % 10 = 0 AS moves FROM seasons))
+SELECT season_key, count(*) AS matches, CAST(sum(round_number) AS BIGINT) AS rounds,
+  count(*) FILTER (WHERE moves) AS postponed, count(*) FILTER (WHERE moves OR season_key >= '1999/2000') AS told,
+  season_key < '1999/2000' AND season_key NOT IN ('1994/1995', '1995/1996') AS kept
+FROM moved GROUP BY season_key"""),
     "temp_view_sql": on_matches(
         "SELECT league, result, count(*) AS matches, min(match_date) AS first_day "
         "FROM matches WHERE result IS NOT NULL GROUP BY league, result"
@@ -348,8 +366,7 @@ FROM matches"""),
         "UNION ALL SELECT 'events of accepted', count(*) FROM matches"
     ),
     "unrated_events": on_matches(
-        "SELECT round_number, event_number, match_id AS match_key FROM matches "
-        "WHERE round_number >= (SELECT max(round_number) FROM matches) - 40 AND match_id % 3 = 0"
+        "SELECT round_number, event_number, match_id AS match_key FROM matches WHERE result IS NULL"
     ),
     "rolling_origin": _rolling(),
     "pool_gradient": _flat(interaction=False),

@@ -18,7 +18,7 @@ from touchline.operators.calibration import calibrate, calibration_metrics, fit_
 from touchline.operators.rating import rate_matches
 from touchline.operators.relational import inline_relation, newest_rounds, scope_semi
 from touchline.plans import audit, dimensions, facts, mart
-from touchline.sources import documents, ingest, tables
+from touchline.sources import documents, ingest, parts, tables
 from touchline.sources.workspace import pinned
 
 
@@ -105,15 +105,15 @@ def build_dimensions(spark: SparkSession, layers: Layers, as_of: Column | None =
 def build_facts(spark: SparkSession, layers: Layers) -> DataFrame:
     """Both facts; the aggregate is built from the match fact as written. Returns the audit."""
     leagues = spark.table(f"{layers.gold}.dim_league")
-    fact = tables.publish(facts.match_fact(spark.table(layers.matches), leagues), layers.fact)
+    fact = parts.publish_parts(facts.match_fact(spark.table(layers.matches), leagues), layers.fact, "season_key")
     tables.publish(facts.league_season_fact(fact), f"{layers.gold}.fact_league_season")
     return audit.fact_audit(fact)
 
 
 def add_forecasts(spark: SparkSession, layers: Layers) -> tuple[DataFrame, DataFrame]:
     """Fit the curves on all played matches, rate every match, in scope or not, write both once per
-    load, and fill the fact's columns by one update. Returns the in-sample metrics of the
-    curves and the summary of the ratings.
+    load, and fill the fact's columns by one update, which writes the seasons whose forecasts
+    changed. Returns the in-sample metrics of the curves and the summary of the ratings.
 
     Both are made anew from all matches: a corrected result changes all that follows it.
     """
@@ -124,7 +124,7 @@ def add_forecasts(spark: SparkSession, layers: Layers) -> tuple[DataFrame, DataF
         F.col("match_id").alias("match_key"), "result", *triple("crowd"), *names
     )
     written = tables.publish(forecasts, layers.forecasts)
-    tables.update_table(layers.fact, written, "match_key", names)
+    parts.update_parts(layers.fact, written, "match_key", names, "season_key")
     return calibration_metrics(written), audit.rating_summary(written)
 
 

@@ -29,7 +29,7 @@ from touchline.functions import (
 )
 from touchline.operators import calibration, judging, pooling, rating, relational
 from touchline.plans import audit, backtest, dimensions, facts, mart
-from touchline.sources import documents, ingest, tables
+from touchline.sources import documents, ingest, parts, tables
 from touchline.sources.workspace import new_folder, pinned, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +179,61 @@ def upsert_wildcard(spark, sf_dir):
     return _rounded(tables.upsert_table(table, source, "match_key"), 6, ["crowd_1", "crowd_2"])
 
 
+def _kept_files(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The seasons whose files are the same in two versions of a table."""
+
+    def files(df: DataFrame) -> DataFrame:
+        read = df.select("season_key", F.input_file_name().alias("file")).distinct()
+        return read.groupBy("season_key").agg(F.sort_array(F.collect_set("file")).alias("files"))
+
+    return files(after).join(files(before), ["season_key", "files"], "left_semi").select("season_key")
+
+
+@query
+def update_one_season(spark, sf_dir):
+    """Ratings that differ from the published ones in one season: only its files are written."""
+    name = f"{_namespace(spark)}.fact_match"
+    start = F.lit(1500.0)
+    fact = _fact(spark, sf_dir).withColumns({"elo_home": start, "elo_away": start})
+    before = parts.publish_parts(fact, name, "season_key")
+    changed = (F.col("season_key") == "1997/1998") & F.col("result").isNotNull()
+    rated = F.when(changed, 1400 + F.col("match_key") * 37 % 200).otherwise(start)
+    source = fact.select("match_key", rated.alias("elo_home"), "elo_away")
+    after = parts.update_parts(name, source, "match_key", ["elo_home", "elo_away"], "season_key")
+    kept = _kept_files(before, after).withColumn("kept", F.lit(True))
+    totals = after.groupBy("season_key").agg(
+        F.count("*").alias("matches"), F.sum("elo_home").alias("elo_home"), F.sum("elo_away").alias("elo_away")
+    )
+    return totals.join(kept, "season_key", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+@query
+def upsert_moved_season(spark, sf_dir):
+    """Matches of the last season arrive, and some of an early one are moved to the season after."""
+    name = f"{_namespace(spark)}.coupon"
+    season = season_key(season_start_year(F.col("match_start")))
+    matches = binding.matches(spark, sf_dir).select("match_id", season.alias("season_key"), "round_number", "crowd_1")
+    late = F.col("season_key") >= "1999/2000"
+    moved = (F.col("season_key") == "1994/1995") & (F.col("match_id") % 10 == 0)
+    before = parts.upsert_parts(name, matches.filter(~late), "match_id", "season_key")
+    source = matches.filter(late | moved).select(
+        "match_id",
+        F.when(moved, "1995/1996").otherwise(F.col("season_key")).alias("season_key"),
+        F.when(~moved, F.col("round_number")).alias("round_number"),
+        "crowd_1",
+        moved.alias("postponed"),
+    )
+    after = parts.upsert_parts(name, source, "match_id", "season_key")
+    kept = _kept_files(before, after).withColumn("kept", F.lit(True))
+    totals = after.groupBy("season_key").agg(
+        F.count("*").alias("matches"),
+        F.sum(F.col("round_number").cast("bigint")).alias("rounds"),
+        F.count_if("postponed").alias("postponed"),
+        F.count("postponed").alias("told"),
+    )
+    return totals.join(kept, "season_key", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
 @query
 def temp_view_sql(spark, sf_dir):
     text = """
@@ -613,11 +668,10 @@ def fit_blend_weight(spark, sf_dir):
 
 @query
 def unrated_events(spark, sf_dir):
-    """Matches of the newest round that no rating covers: those that were never rated."""
+    """Matches of all rounds that no rating covers, where ratings are made of the played matches."""
     matches = binding.matches(spark, sf_dir)
-    ratings = _cheap_ratings(matches.filter(F.col("match_id") % 3 != 0))
-    latest = matches.filter(F.col("round_number") >= mart.newest_round(matches) - 40)
-    return mart.unrated(latest.withColumnRenamed("match_id", "match_key").join(
+    ratings = rating.rate_matches(relational.played(matches))
+    return mart.unrated(matches.withColumnRenamed("match_id", "match_key").join(
         ratings.withColumnRenamed("match_id", "match_key"), "match_key", "left"
     ))
 

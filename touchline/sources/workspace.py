@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,12 @@ def clear_workspace(spark: SparkSession) -> None:
 
     Call it when the results that were built on them have been used or stored.
     """
+    delete_folders(spark, _written)
+    _written.clear()
+
+
+def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(hadoop).delete(path, True)
