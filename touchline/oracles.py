@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import exp, factorial, floor
+
 from touchline.binding import AS_OF, CLUBS, CUTOFF, LINKED, ORIGINS, on_matches
 
 LOOKUP = """
@@ -299,6 +301,102 @@ def _rolling() -> str:
     )
 
 
+def _origin_windows() -> list[tuple[str, str]]:
+    return list(zip(ORIGINS, [*ORIGINS[1:], "9999-12-31"], strict=True))
+
+
+def _forecasts(origin: str, end: str) -> str:
+    """Every forecast that needs no solver, learned before ``origin``, of the matches until ``end``."""
+    before = f"match_date < DATE '{origin}'"
+    curve = CURVE.strip().replace("WHERE result IS NOT NULL", f"WHERE result IS NOT NULL AND {before}")
+    chances = RATING_CURVE.strip().replace("e.match_id, m.result,", f"e.match_id, CASE WHEN m.{before} THEN m.result END AS result,")
+
+    def mix(name: str, weight: str) -> str:
+        return ", ".join(f"{weight} * calibrated_{s} + (1.0 - {weight}) * elo_{s} AS {name}_{s}" for s in "1x2")
+
+    third = ", ".join(f"CAST(1.0 AS DOUBLE) / 3.0 AS even_{s}" for s in "1x2")
+    body = f"""
+, cal AS (WITH {curve} SELECT match_id, calibrated_1, calibrated_x, calibrated_2 FROM calibrated),
+cheap AS (
+  SELECT match_id, CAST(1400 + match_id * 37 % 200 AS DOUBLE) AS elo_home, CAST(1400 + match_id * 53 % 200 AS DOUBLE) AS elo_away
+  FROM matches),
+chance AS (
+  WITH RECURSIVE elo AS (SELECT * FROM cheap), {chances}
+  SELECT match_id, p1 / (p1 + px + p2) AS elo_1, px / (p1 + px + p2) AS elo_x, p2 / (p1 + px + p2) AS elo_2 FROM chances),
+told AS MATERIALIZED (
+  SELECT * FROM (SELECT match_id, match_date, result, crowd_1, crowd_x, crowd_2 FROM matches WHERE result IS NOT NULL)
+  JOIN cal USING (match_id) JOIN chance USING (match_id)),
+tried AS (
+  SELECT w, {mix('tried', 'w')}, result FROM told, (SELECT CAST(unnest(range(21)) AS DOUBLE) / 20.0 AS w) WHERE {before}),
+best AS (SELECT w FROM (SELECT w, avg({_brier('tried')}) AS score FROM tried GROUP BY w) ORDER BY score, w LIMIT 1)
+SELECT '{origin}' AS origin, *, {third}, {mix('halves', '0.5')}, {mix('best_mix', 'w')}
+FROM told, best WHERE match_date >= DATE '{origin}' AND match_date < DATE '{end}'"""
+    return on_matches(body)
+
+
+def _rolling_pairs() -> str:
+    pairs = (("even", "crowd"), ("crowd", "calibrated"), ("calibrated", "elo"), ("calibrated", "halves"), ("calibrated", "best_mix"))
+    scored = " UNION ALL BY NAME ".join(f"SELECT * FROM ({_forecasts(*window)})" for window in _origin_windows())
+    gains = " UNION ALL ".join(
+        f"SELECT origin, '{b}' AS baseline, '{c}' AS candidate, {_brier(b)} - {_brier(c)} AS gain FROM scored" for b, c in pairs
+    )
+    keys = "baseline, candidate"
+    return f"""
+WITH scored AS MATERIALIZED ({scored}),
+gains AS MATERIALIZED ({gains}),
+means AS (SELECT {keys}, avg(gain) AS mean_difference FROM gains GROUP BY {keys}),
+apart AS (
+  SELECT origin, {keys}, mean_difference, count(gain) AS n, sum(gain - mean_difference) AS e
+  FROM gains JOIN means USING ({keys}) GROUP BY origin, {keys}, mean_difference),
+cells AS (
+  SELECT origin, {keys}, avg(gain) AS mean_difference, count(gain) AS n, CAST(1 AS BIGINT) AS clusters,
+    stddev_samp(gain) / sqrt(count(gain)) AS error FROM gains GROUP BY origin, {keys}
+  UNION ALL
+  SELECT 'all', {keys}, mean_difference, CAST(sum(n) AS BIGINT), count(*),
+    sqrt(count(*) / (count(*) - 1.0) * sum(e * e)) / sum(n) FROM apart GROUP BY {keys}, mean_difference),
+sure AS (SELECT * EXCLUDE (error), CASE WHEN error > 0 THEN error END AS standard_error FROM cells)
+SELECT origin, {keys}, round(mean_difference, 7) AS mean_difference, n, clusters, round(standard_error, 7) AS standard_error,
+  round(mean_difference / standard_error, 4) AS t_statistic, round(mean_difference - 1.96 * standard_error, 7) AS ci_low,
+  round(mean_difference + 1.96 * standard_error, 7) AS ci_high FROM sure"""
+
+
+def _simultaneous(draws: int = 64) -> str:
+    """Resamples whose counts are read from a hash of the match and the draw, 16 bits a count."""
+    origin = "CASE " + " ".join(f"WHEN match_date >= DATE '{o}' THEN '{o}'" for o in reversed(ORIGINS)) + " END"
+    limits = [floor(65536 * sum(exp(-1) / factorial(j) for j in range(k + 1))) for k in range(8)]
+    times = " + ".join(f"CAST(u >= {limit} AS INT)" for limit in limits)
+    pairs = (("even", "crowd"), ("even", "favourite_odds"), ("crowd", "favourite_odds"))
+    gains = " UNION ALL ".join(
+        f"SELECT match_id, {origin} AS origin, '{b}' AS baseline, '{c}' AS candidate, {_brier(b)} - {_brier(c)} AS gain FROM judged"
+        for b, c in pairs
+    )
+    return on_matches(f"""
+, {EVEN.strip()},
+gains AS MATERIALIZED (SELECT * FROM ({gains}) WHERE origin IS NOT NULL),
+cells AS MATERIALIZED (
+  SELECT origin, baseline, candidate, avg(gain) AS mean_difference, count(gain) AS n,
+    CASE WHEN stddev_samp(gain) > 0 THEN stddev_samp(gain) / sqrt(count(gain)) END AS standard_error
+  FROM gains GROUP BY origin, baseline, candidate),
+numbers AS (
+  SELECT match_id, draw, CAST(concat('0x', substr(md5(concat(match_id, '|', draw // 8)), draw % 8 * 4 + 1, 4)) AS BIGINT) AS u
+  FROM (SELECT DISTINCT match_id FROM gains), (SELECT unnest(range({draws})) AS draw)),
+counts AS (SELECT match_id, draw, {times} AS times FROM numbers),
+redrawn AS (
+  SELECT draw, origin, baseline, candidate, sum(times * gain) / sum(times) AS redrawn
+  FROM gains JOIN counts USING (match_id) WHERE times > 0 GROUP BY draw, origin, baseline, candidate),
+largest AS (
+  SELECT draw, max(abs(redrawn - mean_difference) / standard_error) AS largest
+  FROM redrawn JOIN cells USING (origin, baseline, candidate) GROUP BY draw),
+ranked AS (SELECT largest, row_number() OVER (ORDER BY largest) AS place, count(*) OVER () AS n FROM largest),
+limits AS (SELECT min(largest) AS critical FROM ranked WHERE place >= 0.95 * n),
+bounds AS (
+  SELECT *, mean_difference - critical * standard_error AS low, mean_difference + critical * standard_error AS high FROM cells, limits)
+SELECT origin, baseline, candidate, round(mean_difference, 7) AS mean_difference, n, round(standard_error, 7) AS standard_error,
+  round(critical, 4) AS critical, round(mean_difference / standard_error, 4) AS t_statistic, round(low, 7) AS ci_low,
+  round(high, 7) AS ci_high,
+  CASE WHEN low > 0 THEN 'better' WHEN high < 0 THEN 'worse' ELSE 'no measurable difference' END AS verdict FROM bounds""")
+
+
 def _flat(interaction: bool) -> str:
     """No slope is left in any coefficient of a fitted pool."""
     names = ["intercept", *(f"logit_{source}_{s}" for source in ("crowd", "elo") for s in "1x2")]
@@ -369,6 +467,8 @@ FROM moved GROUP BY season_key"""),
         "SELECT round_number, event_number, match_id AS match_key FROM matches WHERE result IS NULL"
     ),
     "rolling_origin": _rolling(),
+    "rolling_pairs": _rolling_pairs(),
+    "simultaneous_limits": _simultaneous(),
     "pool_gradient": _flat(interaction=False),
     "pool_gradient_interaction": _flat(interaction=True),
     "pool_balance": on_matches(

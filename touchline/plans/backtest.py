@@ -6,11 +6,12 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import brier, expected_score, triple
 from touchline.operators.calibration import (
+    Curves,
     calibrate,
     fit_crowd_curves,
     fit_rating_curves,
@@ -18,6 +19,7 @@ from touchline.operators.calibration import (
 )
 from touchline.operators.judging import (
     best_blend_weight,
+    clustered_scores,
     describe,
     describe_split,
     paired_scores,
@@ -25,7 +27,7 @@ from touchline.operators.judging import (
     with_even_forecast,
 )
 from touchline.operators.parallel import together
-from touchline.operators.pooling import apply_pool, fit_pool, pool_coefficients
+from touchline.operators.pooling import Pool, apply_pool, fit_pool, pool_coefficients
 from touchline.operators.rating import rate_matches
 from touchline.operators.relational import mixed, scope_to, with_part
 from touchline.plans.dimensions import LEAGUE_COUNTRY
@@ -92,6 +94,44 @@ def _long(section: str, df: DataFrame, item, metrics: list[str]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Forecasts:
+    """What was learned from the matches before a day. Without pools, their forecasts are left out."""
+
+    crowd_curves: Curves
+    rating_curves: Curves
+    weight: float
+    pool: Pool | None
+    pool_by_odds: Pool | None
+
+    def apply(self, matches: DataFrame) -> DataFrame:
+        """Add every forecast."""
+        scored = _from_curves(matches, self.crowd_curves, self.rating_curves)
+        scored = mixed(scored, {"calibrated": 0.5, "elo": 0.5}, "halves")
+        scored = mixed(scored, {"calibrated": self.weight, "elo": 1 - self.weight}, "best_mix")
+        for pool, name in ((self.pool, "pool"), (self.pool_by_odds, "pool_by_odds")):
+            scored = scored if pool is None else apply_pool(scored, pool, name)
+        return with_even_forecast(scored)
+
+
+def _from_curves(matches: DataFrame, crowd_curves: Curves, rating_curves: Curves) -> DataFrame:
+    return rating_probabilities(calibrate(matches, crowd_curves), rating_curves)
+
+
+def fit_forecasts(train: DataFrame, pools: bool = True) -> Forecasts:
+    """Fit the curves, then on their forecasts, which are written once, the blend weight and the pools."""
+    spark = train.sparkSession
+    crowd_curves, rating_curves = together(
+        spark, lambda: fit_crowd_curves(train), lambda: fit_rating_curves(train)
+    )
+    trained = pinned(_from_curves(train, crowd_curves, rating_curves), "trained")
+    fits = [lambda: best_blend_weight(trained, "calibrated", "elo").first()]
+    if pools:
+        fits += [lambda: fit_pool(trained), lambda: fit_pool(trained, interaction=True)]
+    best, *pooled = together(spark, *fits)
+    return Forecasts(crowd_curves, rating_curves, best["weight"], *(pooled or (None, None)))
+
+
 def run_backtest(
     matches: DataFrame,
     leagues: Iterable[str] = tuple(LEAGUE_COUNTRY),
@@ -112,32 +152,14 @@ def run_backtest(
     inside = scope_to(rated, leagues)
     train, test = (with_part(inside, cutoff, start, part) for part in ("train", "test"))
 
-    crowd_curves, rating_curves = together(
-        spark, lambda: fit_crowd_curves(train), lambda: fit_rating_curves(train)
-    )
-
-    def forecast(half: DataFrame) -> DataFrame:
-        return rating_probabilities(calibrate(half, crowd_curves), rating_curves)
-
-    trained = pinned(forecast(train), "trained")
-    best, pool, poolx = together(
-        spark,
-        lambda: best_blend_weight(trained, "calibrated", "elo").first(),
-        lambda: fit_pool(trained),
-        lambda: fit_pool(trained, interaction=True),
-    )
-    weight = best["weight"]
-
-    scored = mixed(forecast(test), {"calibrated": 0.5, "elo": 0.5}, "halves")
-    scored = mixed(scored, {"calibrated": weight, "elo": 1 - weight}, "best_mix")
-    scored = apply_pool(apply_pool(scored, pool, "pool"), poolx, "pool_by_odds")
-    scored = pinned(with_even_forecast(scored), "scored")
+    fitted = fit_forecasts(train)
+    scored = pinned(fitted.apply(test), "scored")
 
     named = [
         pool_coefficients(spark, p).select(
             F.concat_ws(" ", F.lit(kind), "source").alias("item"), "influence"
         )
-        for kind, p in (("additive", pool), ("interaction", poolx))
+        for kind, p in (("additive", fitted.pool), ("interaction", fitted.pool_by_odds))
     ]
     return Backtest(
         everything=describe(rated, start),
@@ -145,7 +167,7 @@ def run_backtest(
         scored=scored,
         briers=pooled_brier(scored, FORECASTS),
         pairs=paired_scores(scored, PAIRS),
-        weight=weight,
+        weight=fitted.weight,
         coefficients=named[0].unionByName(named[1]),
     )
 
@@ -178,3 +200,31 @@ def rolling_origins(matches: DataFrame, origins: list[str], start: str = "match_
         F.avg("calibrated").alias("brier_calibrated"),
         F.avg(F.col("crowd") - F.col("calibrated")).alias("gain"),
     )
+
+
+def rolling_forecasts(rated: DataFrame, origins: list[str], start: str = "match_start", pools: bool = True) -> DataFrame:
+    """Every forecast of the played matches from the first origin on, each learned from the matches
+    before the last of ``origins`` that the match does not precede. That day is in ``origin``.
+
+    ``rated`` holds ratings before each match as ``elo_expected_score``; they look at no later match
+    and so are the same for all origins. Curves, blend weight and pools are fitted anew per origin,
+    side by side. Matches without a day are left out.
+    """
+    day = F.to_date(start)
+    ends = [*(F.to_date(F.lit(o)) for o in origins[1:]), None]
+
+    def judged(origin: str, end: Column | None) -> DataFrame:
+        fitted = fit_forecasts(with_part(rated, origin, start, "train"), pools)
+        later = with_part(rated, origin, start, "test")
+        later = later if end is None else later.filter(day < end)
+        return fitted.apply(later).withColumn("origin", F.lit(origin))
+
+    parts = together(rated.sparkSession, *(lambda o=o, e=e: judged(o, e) for o, e in zip(origins, ends, strict=True)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def origin_scores(scored: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """How stable every comparison is: one row per origin and pair, and one per pair over all
+    origins, named ``all``, whose error is clustered by origin."""
+    each = paired_scores(scored, pairs, by=("origin",)).drop("sd").withColumn("clusters", F.lit(1).cast("bigint"))
+    return each.unionByName(clustered_scores(scored, pairs, "origin").withColumn("origin", F.lit("all")))

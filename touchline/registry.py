@@ -774,3 +774,35 @@ def backtest_report(spark, sf_dir):
 def rolling_origin(spark, sf_dir):
     judged = backtest.rolling_origins(binding.matches(spark, sf_dir), binding.ORIGINS, "match_date")
     return _rounded(judged, 6, ["brier_crowd", "brier_calibrated", "gain"])
+
+
+ORIGIN_PAIRS = [
+    ("even", "crowd"),
+    ("crowd", "calibrated"),
+    ("calibrated", "elo"),
+    ("calibrated", "halves"),
+    ("calibrated", "best_mix"),
+]
+
+
+@query
+def rolling_pairs(spark, sf_dir):
+    """All forecasts that need no solver, learned anew per origin, and how stable their gains are."""
+    rated = _expected_in_place(binding.matches(spark, sf_dir))
+    columns = ["match_id", "match_date", "result", *triple("crowd"), "elo_expected_score"]
+    rated = pinned(rated.select(*columns), "rated")
+    scored = backtest.rolling_forecasts(rated, binding.ORIGINS, "match_date", pools=False)
+    judged = backtest.origin_scores(pinned(scored, "scored"), ORIGIN_PAIRS)
+    numbers = ["mean_difference", "standard_error", "ci_low", "ci_high"]
+    return _rounded(_rounded(judged, 7, numbers), 4, ["t_statistic"]).drop("verdict")
+
+
+@query
+def simultaneous_limits(spark, sf_dir):
+    """Limits that hold for all pairs and origins at once, from resamples drawn by a hash."""
+    day = F.col("match_date")
+    origin = F.array_max(F.filter(F.lit(binding.ORIGINS), lambda o: F.to_date(o) <= day))
+    matches = judging.with_even_forecast(binding.matches(spark, sf_dir)).withColumn("origin", origin)
+    judged = judging.simultaneous_scores(matches.filter(F.col("origin").isNotNull()), PAIRS, ("origin",), draws=64)
+    numbers = ["mean_difference", "standard_error", "ci_low", "ci_high"]
+    return _rounded(_rounded(judged, 7, numbers), 4, ["critical", "t_statistic"])
