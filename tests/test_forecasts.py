@@ -8,9 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from touchline.functions import expected_score, outcome_signal, triple
-from touchline.operators import calibration, judging, pooling, relational
+from touchline.operators import calibration, components, judging, pooling, rating, relational
 from touchline.operators.components import connected_components
 from touchline.operators.rating import _fold, levels, rate_matches
+from touchline.sources import workspace
 
 LOG = "match_id int, match_start string, home_team string, away_team string, result string"
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -105,6 +106,38 @@ def test_fold_in_blocks_equals_the_loop(block):
     assert_same({r.match_id: (r.elo_home, r.elo_away) for r in done.itertuples()}, plain_ratings(rows))
 
 
+@pytest.mark.parametrize("few_teams", [0, 1000])
+def test_fold_tells_places_and_last_ratings(few_teams):
+    """Few teams or many: the same ratings, and the place tells which of a team's matches was last."""
+    rows = sorted(made_log(6, 300, 20), key=lambda r: (r[1], r[0])) + [(1, "2025", "t1", "t1", "1"), (2, "2025", "t1", None, "X")]
+    frame = pd.DataFrame(rows, columns=["match_id", "match_start", "home_team", "away_team", "result"])
+    frame["points"] = frame["result"].map({"1": 1.0, "X": 0.5, "2": 0.0})
+    frame["home_start"], frame["away_start"] = 1500.0, 1500.0
+    done = pd.concat(_fold(20.0, 65.0, 70, few_teams)(frame.iloc[i : i + 9] for i in range(0, len(frame), 9)))
+    assert done["place"].tolist() == list(range(len(rows)))
+    assert_same({r.match_id: (r.elo_home, r.elo_away) for r in done.itertuples()}, plain_ratings(rows))
+
+
+def test_large_tables_of_teams_are_not_broadcast(spark, monkeypatch):
+    """What is broadcast passes the driver, so it must not grow with the teams."""
+    rows = made_log(8, 200, 40)
+    plans = []
+
+    def pinned(df, name, write=workspace.pinned):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    for module in (rating, components):
+        monkeypatch.setattr(module, "pinned", pinned)
+    monkeypatch.setattr(rating, "BROADCAST_TEAMS", 0)
+    monkeypatch.setattr(rating, "connected_components", lambda pairs: connected_components(pairs, 0))
+    df = spark.createDataFrame(rows, LOG).repartition(3)
+    done = rate_matches(df, task_rows=60)
+    plans.append(done._jdf.queryExecution().executedPlan().toString())
+    assert_same({r.match_id: (r.elo_home, r.elo_away) for r in done.collect()}, plain_ratings(rows))
+    assert len(plans) > 8 and not [p for p in plans if "BroadcastHashJoin" in p or "BroadcastNestedLoop" in p]
+
+
 def test_copies_do_not_pile_up_in_a_slice(spark):
     """Rows that share start and id are folded in input order and spread over slices."""
     copies = [(1, "2024-01-01", "A", "B", "1")] * 90

@@ -3,16 +3,19 @@
 A rating depends on every earlier match of both sides, but on no match of teams that are
 linked to neither. The matches are therefore split into the connected components of the
 graph of teams, which are folded in parallel, each in time order within one task. A task folds
-all its components together, level by level: the matches that are next for both of their sides
-do not touch each other and are rated as arrays.
+all its components together: match by match where its teams are few, else level by level, as the
+matches that are next for both of their sides do not touch each other and are rated as arrays.
 
 A component is sequential by nature. So that no task and no retry folds more than about
 ``task_rows`` rows of one, the matches are cut into as many time slices as the largest component
 needs, one in most cases. Slices are folded in turn, the components of each in parallel; the
 ratings between them are a written table. The result is that of one fold over everything.
 
-Limit: where all teams are linked, as in one league system, a slice is one task's work, and its
-levels hold as many matches as its teams play at a time.
+Teams are grouped by hashes of their names: should two names share one, their components are folded
+as one, with the same ratings. Tables of teams are broadcast only up to ``BROADCAST_TEAMS`` rows, so
+what passes the driver does not grow with the teams.
+
+Limit: where all teams are linked, as in one league system, a slice is one task's work.
 """
 
 from __future__ import annotations
@@ -36,7 +39,13 @@ STEP = 20.0
 
 TASK_ROWS = 2_000_000
 
-CARRIED = ["component", "row", "match_start", "home_team", "away_team"]
+#: Rows of a table of teams up to which it is sent to every executor: some 10 MB.
+BROADCAST_TEAMS = 100_000
+
+#: Teams of a block up to which its levels are so narrow that arrays do not pay.
+FEW_TEAMS = 10_000
+
+CARRIED = ["home_team", "away_team"]
 
 
 def levels(home: np.ndarray, away: np.ndarray) -> Iterator[np.ndarray]:
@@ -71,45 +80,70 @@ def levels(home: np.ndarray, away: np.ndarray) -> Iterator[np.ndarray]:
         next_[moved] = queue[at[moved]]
 
 
-def _fold(step: float, home_bonus: float, rows_at_once: int = 200_000):
-    """The fold over the Arrow batches of one task, in blocks of rows, each level by level. Between
-    blocks only current ratings are kept. A team's first rating is the one its row brings along;
-    the ratings after a match are given too."""
+def _one_by_one(home, away, took, ratings, step: float, home_bonus: float):
+    """The ratings of both sides before and after every match, in time order; ``ratings`` is brought up to date."""
+    current = ratings.tolist()
+    before, after = [], []
+    for i, j, points_taken in zip(home.tolist(), away.tolist(), took.tolist()):
+        h, a = current[i], current[j]
+        before.append((h, a))
+        if points_taken == points_taken:  # else a match without result
+            shift = step * (points_taken - 1.0 / (1.0 + 10.0 ** ((a - h - home_bonus) / 400.0)))
+            h, a = h + shift, a - shift
+            current[i] = h
+            current[j] = a
+        after.append((h, a))
+    ratings[:] = current
+    return np.array(before).T, np.array(after).T
+
+
+def _by_level(home, away, took, ratings, step: float, home_bonus: float):
+    """The same, level by level."""
+    before, after = np.empty((2, len(home))), np.empty((2, len(home)))
+    for level in levels(home, away):
+        h, a = ratings[home[level]], ratings[away[level]]
+        before[:, level] = h, a
+        shift = step * (took[level] - 1.0 / (1.0 + 10.0 ** ((a - h - home_bonus) / 400.0)))
+        shift = np.where(np.isnan(shift), 0.0, shift)  # a match without result
+        h, a = h + shift, a - shift
+        ratings[home[level]] = h
+        ratings[away[level]] = a
+        after[:, level] = h, a
+    return before, after
+
+
+def _fold(step: float, home_bonus: float, rows_at_once: int = 200_000, few_teams: int = FEW_TEAMS):
+    """The fold over the Arrow batches of one task, in blocks of rows. Between blocks only current
+    ratings are kept. A team's first rating is the one its row brings along; the ratings after a
+    match and its place in the task's order are given too."""
     current: dict = {}
 
-    def rated(block):
+    def rated(block, first):
         n = len(block)
         codes, names = pd.factorize(pd.concat([block["home_team"], block["away_team"]]), use_na_sentinel=False)
-        names = [None if pd.isna(name) else name for name in names]
+        names = np.where(pd.isna(names), None, names).tolist()
         starts = np.empty(len(names))
         starts[codes] = np.concatenate([block["home_start"], block["away_start"]])
         ratings = np.array([current.get(name, start) for name, start in zip(names, starts)])
-        home, away, took = codes[:n], codes[n:], block["points"].to_numpy(float)
-        before, after = np.empty((2, n)), np.empty((2, n))
-        for level in levels(home, away):
-            h, a = ratings[home[level]], ratings[away[level]]
-            before[:, level] = h, a
-            shift = step * (took[level] - 1.0 / (1.0 + 10.0 ** ((a - h - home_bonus) / 400.0)))
-            shift = np.where(np.isnan(shift), 0.0, shift)  # a match without result
-            h, a = h + shift, a - shift
-            ratings[home[level]] = h
-            ratings[away[level]] = a
-            after[:, level] = h, a
+        run = _one_by_one if len(names) <= few_teams else _by_level
+        before, after = run(codes[:n], codes[n:], block["points"].to_numpy(float), ratings, step, home_bonus)
         current.update(zip(names, ratings.tolist()))
         done = block[["match_id", *CARRIED]]
-        return done.assign(elo_home=before[0], elo_away=before[1], home_after=after[0], away_after=after[1])
+        return done.assign(
+            elo_home=before[0], elo_away=before[1], home_after=after[0], away_after=after[1], place=np.arange(first, first + n)
+        )
 
     def fold(batches):
         current.clear()
-        held, rows = [], 0
+        held, rows, first = [], 0, 0
         for batch in batches:
             held.append(batch)
             rows += len(batch)
             if rows >= rows_at_once:
-                yield rated(pd.concat(held, ignore_index=True))
-                held, rows = [], 0
+                yield rated(pd.concat(held, ignore_index=True), first)
+                held, rows, first = [], 0, first + rows
         if rows:
-            yield rated(pd.concat(held, ignore_index=True))
+            yield rated(pd.concat(held, ignore_index=True), first)
 
     return fold
 
@@ -128,11 +162,19 @@ def _folded(part: DataFrame, step: float, home_bonus: float) -> DataFrame:
     kept = ["match_id", *CARRIED]
     schema = [f"{name} {part.schema[name].dataType.simpleString()}" for name in kept]
     schema += [f"{name} double" for name in ("elo_home", "elo_away", "home_after", "away_after")]
-    return ordered.mapInPandas(_fold(step, home_bonus), ", ".join(schema))
+    asked = ordered.select(*kept, "points", "home_start", "away_start")
+    return asked.mapInPandas(_fold(step, home_bonus), ", ".join([*schema, "place long"]))
+
 
+def _sized(teams: DataFrame, rows: int) -> DataFrame:
+    """A written table of teams, marked for how a join should reach it: what is broadcast passes
+    the driver, and Spark would judge by the size of the compressed files."""
+    return F.broadcast(teams) if rows <= BROADCAST_TEAMS else teams.hint("merge")
 
-def _by_component(matches: DataFrame) -> DataFrame:
-    """What the fold needs of every match, and the component of its teams."""
+
+def _by_component(matches: DataFrame) -> tuple[DataFrame, int]:
+    """What the fold needs of every match, with the component of its teams, and the matches of the
+    largest component."""
     log = matches.select(
         "match_id",
         "match_start",
@@ -140,9 +182,15 @@ def _by_component(matches: DataFrame) -> DataFrame:
         "away_team",
         points(F.col("result")).alias("points"),
         F.monotonically_increasing_id().alias("row"),
+        _node("home_team").alias("node"),
+        _node("away_team").alias("other"),
     )
-    teams = connected_components(log.select(_node("home_team").alias("left"), _node("away_team").alias("right")))
-    return log.join(teams, _node("home_team") == F.col("node")).drop("node")
+    log = pinned(log, "log")
+    teams = pinned(connected_components(log.select(F.col("node").alias("left"), F.col("other").alias("right"))), "teams")
+    teams = _sized(teams, teams.count())
+    sizes = log.groupBy("node").count().join(teams, "node").groupBy("component").agg(F.sum("count").alias("rows"))
+    largest = sizes.agg(F.max("rows")).first()[0] or 0
+    return log.drop("other").join(teams, "node").drop("node"), largest
 
 
 def rate_matches(
@@ -156,8 +204,7 @@ def rate_matches(
 
     Unplayed matches are rated and change nothing.
     """
-    log = pinned(_by_component(matches), "log")
-    largest = log.groupBy("component").count().agg(F.max("count")).first()[0] or 0
+    log, largest = _by_component(matches)
     slices = max(1, math.ceil(largest / task_rows))
     if slices > 1:
         cut = log.repartitionByRange(slices, *_time_order()).withColumn("slice", F.spark_partition_id())
@@ -168,20 +215,23 @@ def rate_matches(
         done = _folded(_with_start(part, ratings, start_rating), step, home_bonus)
         if slices > 1:
             done = pinned(done, "rated")
-            ratings = pinned(_ratings_after(done, ratings), "state")
+            if turn < slices - 1:
+                ratings = pinned(_ratings_after(done, ratings), "state")
         folded.append(done.select("match_id", "elo_home", "elo_away"))
     return reduce(DataFrame.unionAll, folded)
 
 
 def _node(side: str) -> Column:
-    """A team as a graph node. A missing name is a node too; should a team have the empty
-    name, the two only share a group."""
-    return F.coalesce(F.col(side), F.lit(""))
+    """A team as a graph node. A missing name is a node too; teams that share a node only share
+    a group."""
+    return F.xxhash64(F.coalesce(F.col(side), F.lit("")))
 
 
 def _with_start(part: DataFrame, ratings: DataFrame | None, start_rating: float) -> DataFrame:
     """Add the rating of both sides at the start of the slice."""
     fresh = F.lit(float(start_rating))
+    if ratings is not None:
+        ratings = _sized(ratings, ratings.count())
     for side in ("home", "away"):
         if ratings is None:
             part = part.withColumn(f"{side}_start", fresh)
@@ -201,16 +251,12 @@ def _ratings_after(folded: DataFrame, ratings: DataFrame | None) -> DataFrame:
         F.struct(
             F.col(f"{side}_team").alias("team"),
             F.col(f"{side}_after").alias("rating"),
-            F.lit(rank).alias("side"),
+            (F.col("place") * 2 + rank).alias("moment"),
         )
         for rank, side in enumerate(("home", "away"))
     ]
-    moment = F.struct(F.col("match_start").isNull(), "match_start", "match_id", "row", "side")
-    last = (
-        folded.select("match_start", "match_id", "row", F.inline(F.array(*sides)))
-        .groupBy("team")
-        .agg(F.max_by("rating", moment).alias("rating"))
-    )
+    # All matches of a team are in one task, so their places tell which was last.
+    last = folded.select(F.inline(F.array(*sides))).groupBy("team").agg(F.max_by("rating", "moment").alias("rating"))
     if ratings is None:
         return last
     old = ratings.select(F.col("team").alias("__team"), F.col("rating").alias("__rating"))
