@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from touchline import binding, landing
 from touchline.functions import decimal_comma, percent
 from touchline.sources import documents
 
@@ -106,3 +107,21 @@ def test_layouts_agree(spark, tmp_path):
         for folder, multi_line in ((array, True), (lines, False))
     ]
     assert sorted(read[0]) == sorted(read[1]) and len(read[0]) == 2
+
+
+def test_landed_arrays_are_compressed_and_whole(spark, tmp_path):
+    """The documents' text is many times the size of the orders; what is read back is all of it."""
+    orders = spark.range(4000).selectExpr(
+        "id AS o_orderkey", "id % 200 AS o_custkey", "CAST(1000 + id AS DOUBLE) AS o_totalprice",
+        "DATE '1998-01-01' AS o_orderdate", "'2-HIGH' AS o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    matches = binding.matches(spark, str(tmp_path))
+    path = landing.land_arrays(matches, str(tmp_path / "arrays"))
+    files = [f for f in (tmp_path / "arrays").iterdir() if f.name.startswith("part-") and f.stat().st_size > 100]
+    text = landing.land_lines(matches, str(tmp_path / "lines"))
+    lines = sum(f.stat().st_size for f in (tmp_path / "lines").iterdir())
+    assert files and sum(f.stat().st_size for f in files) * 4 < lines
+    read = documents.extract_events(documents.accepted(documents.read_documents(spark, path))).drop("event_number")
+    plain = documents.extract_events(documents.read_documents(spark, text, multi_line=False)).drop("event_number")
+    assert read.count() == 4000 and read.exceptAll(plain).isEmpty() and plain.exceptAll(read).isEmpty()

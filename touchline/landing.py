@@ -102,8 +102,13 @@ def land_faults(matches: DataFrame, path: str) -> str:
 
 
 def land_arrays(matches: DataFrame, path: str) -> str:
-    """Pretty-printed files, each holding an array of documents."""
+    """Pretty-printed files, each holding an array of documents.
+
+    They are compressed, as their text is many times the size of the table it comes from. Each
+    is read by one task anyway.
+    """
     files = documents(matches).groupBy("file").agg(F.collect_list("document").alias("all"))
     text = F.to_json("all", {"pretty": "true"})
-    files.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    one_each = files.select(text.alias("value")).write.option("maxRecordsPerFile", 1)
+    one_each.option("zlib.compress.level", "BEST_SPEED").text(path, compression="gzip")
     return path
