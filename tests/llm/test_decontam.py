@@ -2,8 +2,9 @@ import re
 
 import pytest
 from messy import documents, prose, texts
+from pyspark.sql import functions as F
 
-from touchline.llm import decontam
+from touchline.llm import decontam, imatch, text
 
 
 def words(text):
@@ -77,3 +78,15 @@ def test_removes_documents_or_spans(spark, benchmark):
     hits = {(d, w): hit for d, w, hit, _ in expected(texts(), ITEMS, 10)}
     before = {d: len(words(t)) for d, t in texts() if d not in (150, None)}
     assert all(len(words(t)) == before[d] - hits[d, before[d]] for d, t in left if d in before)
+
+
+def test_words_equal_the_pattern(spark):
+    """Splitting at separators finds what the contract's pattern finds, and no pattern is run over the texts."""
+    texts = ["".join(map(chr, range(0x300))), "a\0b 😀x,Ünï A9-z\n\x7fq", "", "  ", " a", "éİk", "x\x80y z", None, "@a[b`c{d/e:f"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    low = text.ascii_lower(F.col("text"))
+    pattern = F.regexp_extract_all(F.coalesce(low, F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    rows = df.select(text.lower_words(low).alias("got"), pattern.alias("want")).collect()
+    assert len(rows) == len(texts) and all(r.got == r.want for r in rows)
+    plan = imatch.lexicon(df, 0.1, 7.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan

@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.text import ascii_lower, extract_words, rows_key
+from touchline.llm.text import ascii_lower, lower_words, rows_key
 from touchline.sources.workspace import pinned
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
@@ -29,7 +28,7 @@ def benchmark_grams(benchmark: DataFrame, n: int, item: str = "item_id", text: s
     """The distinct windows of the items: their hash, words and number of words, and the items."""
     words = benchmark.select(
         F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"),
-        extract_words(ascii_lower(F.col(text)), WORD).alias("words"),
+        lower_words(ascii_lower(F.col(text))).alias("words"),
     ).filter(F.size("words") > 0)
     width = F.least(F.lit(n), F.size("words"))
     starts = F.sequence(F.lit(1), F.size("words") - width + 1)
@@ -46,7 +45,7 @@ def find_hits(docs: DataFrame, grams: DataFrame, broadcast_bytes: int = BROADCAS
     measured = grams.agg(F.sum(size).alias("bytes"), F.sort_array(F.collect_set("n")).alias("widths")).first()
     small = (measured["bytes"] or 0) <= broadcast_bytes
     words = docs.select(
-        "doc_id", rows_key(F.col("text")).alias("row_key"), extract_words(ascii_lower(F.col("text")), WORD).alias("words")
+        "doc_id", rows_key(F.col("text")).alias("row_key"), lower_words(ascii_lower(F.col("text"))).alias("words")
     )
     windows = words.select("doc_id", "row_key", "words", F.posexplode("words").alias("start", "word"))
     # At most n widths: those of the items shorter than a window, and n itself.
@@ -99,7 +98,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
     counted = docs.select(
         "doc_id",
         rows_key(F.col("text")).alias("row_key"),
-        F.size(extract_words(ascii_lower(F.col("text")), WORD)).cast("long").alias("n_words"),
+        F.size(lower_words(ascii_lower(F.col("text")))).cast("long").alias("n_words"),
     )
     h = hits.select(F.col("doc_id").alias("h_id"), F.col("row_key").alias("h_key"), "n_hit", "spans", "items")
     same = F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("row_key") == F.col("h_key"))

@@ -29,10 +29,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.text import extract_words, let
+from touchline.llm.text import let, lower_words
 from touchline.sources.workspace import pinned
 
-TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 KEY = ["id0", "row_key"]
 
 #: Bytes of lexicon up to which it is sent to every executor.
@@ -45,7 +44,7 @@ DEPTH_MASK = (1 << DEPTH_BITS) - 1
 
 def terms(text: Column) -> Column:
     """The distinct terms of a text."""
-    return F.array_distinct(extract_words(F.lower(text), TERM))
+    return F.array_distinct(lower_words(F.lower(text)))
 
 
 def lexicon(docs: DataFrame, low: float, high: float) -> DataFrame:
